@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import compact, normalize_name
+from .text import compact, let, normalize_name
 
 # The surname is the shortest head after which only dotted words follow; one word always stays.
 _ABBREVIATED = r"(?U)^\s*(\S+(?:\s+\S+)*?)((?:\s+\S*\.)*)\s*$"
@@ -32,17 +32,21 @@ def trailing_runs(full_name: Column) -> Column:
     texts only the shortest run stays, so a surname meets one entry at most. Exploding this array
     turns the name test into an equality join on ``run``.
     """
-    words = F.split(normalize_name(full_name), " ")
-    size = F.size(words)
-    runs = F.transform(
-        F.sequence(F.lit(1), size),
-        lambda n: F.struct(
-            compact(F.array_join(F.slice(words, size - n + 1, n), "")).alias("run"),
-            F.slice(words, F.lit(1), size - n).alias("given"),
-        ),
-    )
-    texts = F.transform(runs, lambda r: r["run"])
-    return F.filter(runs, lambda r, i: F.array_position(texts, r["run"]) == i + 1)
+
+    def runs(words: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(1), F.size(words)),
+            lambda n: F.struct(
+                compact(F.array_join(F.slice(words, F.size(words) - n + 1, n), "")).alias("run"),
+                F.slice(words, F.lit(1), F.size(words) - n).alias("given"),
+            ),
+        )
+
+    def shortest(found: Column) -> Column:
+        texts = F.transform(found, lambda r: r["run"])
+        return F.filter(found, lambda r, i: F.array_position(texts, r["run"]) == i + 1)
+
+    return let(F.split(normalize_name(full_name), " "), lambda words: let(runs(words), shortest))
 
 
 def initials_fit(letters: Column, given: Column) -> Column:
@@ -58,12 +62,16 @@ def initials_fit(letters: Column, given: Column) -> Column:
 
 def names_compatible(abbreviated: Column, full_name: Column) -> Column:
     """True where the abbreviated name can stand for the full one; a missing name never can."""
-    family = surname(abbreviated)
-    hit = F.filter(trailing_runs(full_name), lambda r: r["run"] == compact(family))
-    fits = (F.size(hit) > 0) & initials_fit(
-        initials(abbreviated), F.try_element_at(hit, F.lit(1))["given"]
-    )
-    return F.coalesce((family != "") & fits, F.lit(False))
+
+    def fits(short: Column) -> Column:
+        hit = F.filter(trailing_runs(full_name), lambda r: r["run"] == compact(short["surname"]))
+        return let(
+            hit,
+            lambda h: (F.size(h) > 0)
+            & initials_fit(short["initials"], F.try_element_at(h, F.lit(1))["given"]),
+        ) & (short["surname"] != "")
+
+    return F.coalesce(let(parse_abbreviated(abbreviated), fits), F.lit(False))
 
 
 def names_conflict(abbreviated: Column, full_name: Column) -> Column:

@@ -7,9 +7,10 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def sequence_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     """Gestalt ratio of two short texts, in Arrow batches. The argument order matters."""
     return pd.Series(

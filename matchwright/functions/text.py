@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import Column
@@ -30,6 +31,11 @@ def _fold_tables() -> tuple[dict[str, str], dict[str, str]]:
     return one, many
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Name a value inside an expression, so that it is built and computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
 def fold_accents(value: Column, *, spell_letters: bool = False) -> Column:
     """Plain ASCII: decompose, keep the ASCII part, drop the rest.
 
@@ -39,19 +45,17 @@ def fold_accents(value: Column, *, spell_letters: bool = False) -> Column:
     """
     one, many = _fold_tables()
     if spell_letters:
-        one = {**one, **LETTERS_ONE}
-    folded = F.translate(value, "".join(one), "".join(one.values()))
-    if spell_letters:
-        spelled = folded
-        for letter, text in LETTERS_TWO.items():
-            spelled = F.replace(spelled, F.lit(letter), F.lit(text))
-        folded = F.when(folded.rlike("[" + "".join(LETTERS_TWO) + "]"), spelled).otherwise(folded)
-    lookup = F.create_map(*[F.lit(x) for pair in many.items() for x in pair])
-    by_character = F.array_join(
-        F.transform(F.split(folded, ""), lambda c: F.coalesce(lookup[c], c)), ""
-    )
-    folded = F.when(folded.rlike("[" + "".join(many) + "]"), by_character).otherwise(folded)
-    ascii_only = F.regexp_replace(folded, r"[^\x00-\x7f]", "")
+        one, many = {**one, **LETTERS_ONE}, {**many, **LETTERS_TWO}
+    pairs = "\u0001".join(f"{char}\u0002{plain}" for char, plain in many.items())
+    table = F.str_to_map(F.lit(pairs), F.lit("\u0001"), F.lit("\u0002"))
+    has_many = "[" + "".join(many) + "]"
+
+    def spelled(text: Column) -> Column:
+        letters = F.transform(F.split(text, ""), lambda c: F.coalesce(table[c], c))
+        return F.when(text.rlike(has_many), F.array_join(letters, "")).otherwise(text)
+
+    single = F.translate(value, "".join(one), "".join(one.values()))
+    ascii_only = F.regexp_replace(let(single, spelled), r"[^\x00-\x7f]", "")
     return F.when(value.rlike(r"[^\x00-\x7f]"), ascii_only).otherwise(value)
 
 
