@@ -220,17 +220,20 @@ def _same(keys: tuple[str, ...], left: str, right: str) -> Column:
 
 
 def _feed_names(df: DataFrame) -> DataFrame:
-    """Surname and initials of both players, for records that have both names."""
+    """Surname and initials of both players, for records that have both names.
+
+    The parsed names leave a generator, so filters the optimizer derives from the join apply to
+    them instead of parsing every name once more.
+    """
     parsed = df.where(F.col("winner_name").isNotNull() & F.col("loser_name").isNotNull())
     for side in ("winner", "loser"):
-        family = names.surname(F.col(f"{side}_name"))
-        parsed = parsed.withColumns(
-            {
-                f"_{side}_family": F.when(family != "", names.compact(family)),
-                f"_{side}_letters": names.initials(F.col(f"{side}_name")),
-            }
-        )
-    return parsed.where("_winner_family is not null and _loser_family is not null")
+        short = F.explode(F.array(names.parse_abbreviated(F.col(f"{side}_name")))).alias("_short")
+        parsed = parsed.select("*", short).where("_short.surname <> ''").select(
+            "*",
+            names.compact(F.col("_short.surname")).alias(f"_{side}_family"),
+            F.col("_short.initials").alias(f"_{side}_letters"),
+        ).drop("_short")
+    return parsed
 
 
 def _archive_names(df: DataFrame) -> DataFrame:
@@ -445,8 +448,8 @@ def link(
 
     Both frames carry the official id already (``attach_official_ids``) and unique match keys.
     A record that is ambiguous by rank gets another chance by names; a linked record is never
-    reconsidered. The accepted links of the first passes are stored once, because three later
-    steps read them.
+    reconsidered. The blocks of pass 1 and the name groups of pass 2 are stored once, because
+    several later steps read them.
     """
     feed, archive = ensure_columns(feed, FEED_COLUMNS), ensure_columns(archive, ARCHIVE_COLUMNS)
     by_hand = manual_links(manual, feed, archive) if manual is not None else None
@@ -456,8 +459,8 @@ def link(
         free_feed = feed.join(by_hand, "source_match_key", "left_anti")
         free_archive = archive.join(by_hand, "canonical_match_key", "left_anti")
 
-    blocks = rank_blocks(free_feed, free_archive, block)
-    first = materialize(rank_links(blocks))
+    blocks = materialize(rank_blocks(free_feed, free_archive, block))
+    first = rank_links(blocks)
     several = rank_ambiguous(free_feed, blocks, block).select(
         "source_match_key", F.lit(1).alias("found_in_pass"),
         "source_candidate_count", "canonical_candidate_count",

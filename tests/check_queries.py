@@ -11,7 +11,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 import duckdb  # noqa: E402
 
 import __spark_entry__ as contract  # noqa: E402
-from matchwright.session import local_session  # noqa: E402
+from matchwright import session  # noqa: E402
 
 
 def norm(v):
@@ -26,7 +26,9 @@ def bag(columns, rows):
 
 
 def main(folder, wanted):
-    spark = local_session("check", 8)
+    session.LOCAL_SETTINGS["spark.ui.showConsoleProgress"] = "false"
+    spark = session.local_session("check", 8)
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.sparkContext.setLogLevel("ERROR")
     db = duckdb.connect()
     for file in sorted(Path(folder).glob("*.parquet")):
