@@ -48,13 +48,14 @@ def fold_accents(value: Column, *, spell_letters: bool = False) -> Column:
         one, many = {**one, **LETTERS_ONE}, {**many, **LETTERS_TWO}
     pairs = "\u0001".join(f"{char}\u0002{plain}" for char, plain in many.items())
     table = F.str_to_map(F.lit(pairs), F.lit("\u0001"), F.lit("\u0002"))
-    has_many = "[" + "".join(many) + "]"
+    single = F.translate(value, "".join(one), "".join(one.values()))
 
     def spelled(text: Column) -> Column:
-        letters = F.transform(F.split(text, ""), lambda c: F.coalesce(table[c], c))
-        return F.when(text.rlike(has_many), F.array_join(letters, "")).otherwise(text)
+        # Few different characters are left, so each is replaced once in the whole text.
+        met = F.array_distinct(F.regexp_extract_all(text, F.lit(r"([^\x00-\x7f])"), F.lit(1)))
+        known = F.filter(met, lambda char: table[char].isNotNull())
+        return F.aggregate(known, text, lambda out, char: F.replace(out, char, table[char]))
 
-    single = F.translate(value, "".join(one), "".join(one.values()))
     ascii_only = F.regexp_replace(let(single, spelled), r"[^\x00-\x7f]", "")
     return F.when(value.rlike(r"[^\x00-\x7f]"), ascii_only).otherwise(value)
 

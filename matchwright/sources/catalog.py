@@ -43,11 +43,18 @@ def flatten(entries: DataFrame) -> DataFrame:
 
 
 def scan_catalog(
-    spark: SparkSession, path: str, *, exclude_levels: str | Iterable[str] = ()
+    spark: SparkSession,
+    path: str,
+    *,
+    exclude_levels: str | Iterable[str] = (),
+    multi_line: bool = True,
 ) -> DataFrame:
-    """Landed pages, without the levels named; an entry without a level stays."""
+    """Landed pages, without the levels named; an entry without a level stays.
+
+    A page is one file (``multi_line``) or one line.
+    """
     levels = [exclude_levels] if isinstance(exclude_levels, str) else list(exclude_levels)
-    pages = spark.read.schema(contract.PAGE).option("multiLine", True).json(path)
+    pages = spark.read.schema(contract.PAGE).option("multiLine", multi_line).json(path)
     flat = flatten(pages.select(F.explode("content").alias("e")).select("e.*"))
     return flat.where(~F.coalesce(F.col("level").isin(levels), F.lit(False))) if levels else flat
 
