@@ -55,9 +55,18 @@ def coerce(
     return df.withColumns(typed) if typed else df
 
 
+def lookup(table: Mapping[str, object], value: Column) -> Column:
+    """Entry of a fixed table, null if there is none.
+
+    ``try_element_at`` keeps the table one literal; indexing it would be unrolled to a chain of
+    comparisons, and several of those make the generated code too large to be compiled.
+    """
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in table.items() for x in pair]), value)
+
+
 def recode(value: Column, table: Mapping[str, object], *, keep_unmapped: bool = True) -> Column:
     """Look values up in a fixed table; the rest stays, or becomes null."""
-    found = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])[value]
+    found = lookup(table, value)
     return F.coalesce(found, value) if keep_unmapped else found
 
 
