@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import interval_join
+
 
 def coverage(df: DataFrame, value: str, by: list[str] | None = None) -> DataFrame:
     """Rows, rows with and without the value, and the share with it."""
@@ -98,6 +100,37 @@ def unique_both(pairs: DataFrame, left: str, right: str) -> DataFrame:
     )
 
 
+def unique_in_window(
+    feed: DataFrame, archive: DataFrame, keys: list[str], low: int, high: int
+) -> DataFrame:
+    """Pairs with equal keys, ``low`` to ``high`` days from ``archive_day`` to ``feed_day``, whose
+    partners have no other pair.
+
+    Records are counted per (key, day) first and only days are compared, so a key with very many
+    records costs as many comparisons as the window has days, not as there are pairs of records.
+    """
+    left = feed.groupBy(*keys, "feed_day").agg(
+        F.count("*").alias("_n"),
+        F.min(F.struct(*[c for c in feed.columns if c not in keys])).alias("_f"),
+    )
+    right = archive.groupBy(*keys, "archive_day").agg(
+        F.count("*").alias("_m"),
+        F.min(F.struct(*[c for c in archive.columns if c not in keys])).alias("_a"),
+    )
+    near = interval_join(
+        right, left, keys, F.unix_date("archive_day"), F.unix_date("feed_day"), low, high
+    )
+    of_feed = near.groupBy(*keys, "feed_day").agg(
+        F.sum("_m").alias("_partners"), F.min(F.struct("archive_day", "_a", "_f", "_n")).alias("_p")
+    )
+    of_archive = near.groupBy(*keys, "archive_day").agg(F.sum("_n").alias("_back"))
+    single = of_feed.where("_partners = 1 and _p._n = 1").withColumn(
+        "archive_day", F.col("_p.archive_day")
+    )
+    found = single.join(of_archive.where("_back = 1"), [*keys, "archive_day"])
+    return found.select(*keys, "_p._f.*", "_p._a.*")
+
+
 def link_by_aliases(
     feed: DataFrame,
     archive: DataFrame,
@@ -114,20 +147,10 @@ def link_by_aliases(
     where unique. Feed: ``tour, feed_id, day, winner, loser, winner_rank, loser_rank``; archive:
     ``tour, archive_id, day, winner_id, loser_id, winner_rank, loser_rank``.
     """
-    from .joins import interval_join
-
-    def within(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-        # Dates are measured from the archive's start date to the feed's match date.
-        return interval_join(
-            right, left, on, F.unix_date("archive_day"), F.unix_date("feed_day"), low, high
-        )
-
     f = feed.withColumnRenamed("day", "feed_day")
     a = archive.withColumnRenamed("day", "archive_day")
     ranks = ["tour", "winner_rank", "loser_rank"]
-    by_rank = unique_both(
-        within(f.dropna(subset=ranks), a.dropna(subset=ranks), ranks), "feed_id", "archive_id"
-    )
+    by_rank = unique_in_window(f.dropna(subset=ranks), a.dropna(subset=ranks), ranks, low, high)
     seen = by_rank.select(
         "tour",
         F.explode(
@@ -146,9 +169,7 @@ def link_by_aliases(
         )
         rest = rest.join(known, ["tour", side])
     free = a.drop("winner_rank", "loser_rank").join(by_rank, "archive_id", "left_anti")
-    by_name = unique_both(
-        within(rest, free, ["tour", "winner_id", "loser_id"]), "feed_id", "archive_id"
-    )
+    by_name = unique_in_window(rest, free, ["tour", "winner_id", "loser_id"], low, high)
     return by_rank.select("feed_id", "archive_id", F.lit("rank").alias("link_method")).unionByName(
         by_name.select("feed_id", "archive_id", F.lit("name").alias("link_method"))
     )

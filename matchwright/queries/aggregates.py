@@ -353,12 +353,12 @@ def schema_drift(spark, sf):
 
 @query("""
 SELECT CAST(year(o_orderdate) AS BIGINT) AS year, CAST(count(*) AS BIGINT) AS source_rows,
-  CAST(count(*) FILTER (o_orderkey % 2000 <> 0) AS BIGINT) AS bucketed
-FROM orders GROUP BY 1 HAVING count(*) <> count(*) FILTER (o_orderkey % 2000 <> 0)
+  CAST(count(*) FILTER (o_totalprice > 2000) AS BIGINT) AS bucketed
+FROM orders GROUP BY 1 HAVING count(*) <> count(*) FILTER (o_totalprice > 2000)
 """)
 def unreconciled(spark, sf):
     orders = table(spark, sf, "orders").withColumn("year", F.year("o_orderdate").cast("bigint"))
-    return quality.unreconciled(orders.where(c("o_orderkey") % 2000 != 0), orders, ["year"])
+    return quality.unreconciled(orders.where(c("o_totalprice") > 2000), orders, ["year"])
 
 
 @query("""

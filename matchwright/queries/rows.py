@@ -205,13 +205,13 @@ def _orders_and_fixes(spark, sf):
         "o_custkey",
         "o_totalprice",
     )
-    picked = orders.where(c("o_orderkey") % 1000 == 7)
-    wrong = c("o_orderkey") % 3000 == 7
+    picked = orders.where(c("o_totalprice") > 480_000)
+    wrong = c("o_orderstatus") == "F"
     fixes = picked.select(
         F.concat(F.lit("fix-"), c("o_orderkey")).alias("fix_id"),
         "tour",
         "year",
-        F.when(wrong, -c("o_orderkey")).otherwise(c("o_orderkey")).alias("event_id"),
+        F.when(wrong, -1 - c("o_orderkey")).otherwise(c("o_orderkey")).alias("event_id"),
         c("o_orderstatus").alias("winner"),
         c("o_orderpriority").alias("loser"),
         c("day").alias("match_date"),
@@ -228,9 +228,9 @@ def _orders_and_fixes(spark, sf):
 
 @query("""
 SELECT o_orderkey,
-       CASE WHEN o_orderkey % 1000 = 7 AND o_orderkey % 3000 <> 7 THEN o_orderkey
+       CASE WHEN o_totalprice > 480000 AND o_orderstatus <> 'F' THEN o_orderkey
             ELSE o_custkey END AS o_custkey,
-       CASE WHEN o_orderkey % 1000 = 7 AND o_orderkey % 3000 <> 7 THEN 1.5
+       CASE WHEN o_totalprice > 480000 AND o_orderstatus <> 'F' THEN 1.5
             ELSE o_totalprice END AS o_totalprice
 FROM orders
 """)
@@ -242,7 +242,7 @@ def fix_registry(spark, sf):
 
 @query("""
 SELECT 'fix-' || o_orderkey AS fix_id, CAST(0 AS BIGINT) AS hits
-FROM orders WHERE o_orderkey % 3000 = 7
+FROM orders WHERE o_totalprice > 480000 AND o_orderstatus = 'F'
 """)
 def fix_hits(spark, sf):
     orders, fixes, named = _orders_and_fixes(spark, sf)

@@ -107,6 +107,20 @@ def test_archive_scan(spark, tmp_path):
     assert (r.source_year, r.tour, r.match_type, r.match_level, r.loser_rank, r.winner_age, str(r.tourney_date)) == (2024, "atp", "singles", "main", 20, 25.5, "2024-01-01")
     with pytest.raises(ValueError):
         archive.year_range(2024, 2023)
+    write(tmp_path / "atp_players.csv", "player_id,name_first", ["1,Taylor"])
+    write(tmp_path / "wta_rankings_current.csv", "ranking_date,rank,player", ["20240101,1,7"])
+    assert archive.scan_people(spark, str(tmp_path), "atp").first().player_id == 1
+    assert archive.scan_rankings(spark, str(tmp_path), "wta").first().player == 7
+
+
+def test_doubles_scan(spark, tmp_path):
+    columns = archive_contract.layout("doubles")
+    row = dict(tourney_id="2019-1", match_num=7, tourney_date=20190101, winner1_id=1, winner2_id=2, loser1_rank="9.0", loser2_age="30.5", score="3-6 6-3 (10-2)", best_of=3)
+    write(tmp_path / "atp_matches_doubles_2019.csv", ",".join(columns), [",".join(str(row.get(c, "")) for c in columns)])
+    df = archive.scan_archive(spark, str(tmp_path), "atp", [2019], "doubles")
+    r = df.first()
+    assert "match_level" not in df.columns
+    assert (r.match_type, r.canonical_match_key, r.winner2_id, r.loser1_rank, r.loser2_age, r.source_year) == ("doubles", "2019-1_7", 2, 9, 30.5, 2019)
 
 
 def test_catalog_scan(spark, tmp_path):

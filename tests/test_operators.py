@@ -317,6 +317,16 @@ def test_alias_linker(spark):
     assert got == {(1, 101, "rank"), (2, 102, "rank"), (9, 109, "name")}
 
 
+def test_window_links_with_a_hot_key(spark):
+    rng = random.Random(4)
+    f = spark.createDataFrame([(rng.choice([0, i]), i, d("2024-01-01") + dt.timedelta(days=rng.randint(0, 9))) for i in range(90)], "k int, feed_id int, feed_day date")
+    a = spark.createDataFrame([(rng.choice([0, i]), i, d("2024-01-01") + dt.timedelta(days=rng.randint(0, 9))) for i in range(90)], "k int, archive_id int, archive_day date")
+    pairs = f.join(a, "k").where(F.datediff("feed_day", "archive_day").between(-2, 3))
+    want = {(r.feed_id, r.archive_id) for r in profile.unique_both(pairs, "feed_id", "archive_id").collect()}
+    got = {(r.feed_id, r.archive_id) for r in profile.unique_in_window(f, a, ["k"], -2, 3).collect()}
+    assert got == want and want
+
+
 def test_profile(spark):
     df = spark.createDataFrame([(1, "a"), (2, None), (2, "a")], "x int, y string")
     assert [tuple(r) for r in profile.column_profile(df, exact=True).collect()] == [("x", "int", 0.0, 2), ("y", "string", 33.33, 1)]
