@@ -56,6 +56,13 @@ def test_bad_season_is_held_back(spark, season, tmp_path):
         cleaning.clean_seasons(spark, raw, str(tmp_path / "clean2"), fail_fast=True)
 
 
+def test_report_replaces_seasons(spark, tmp_path):
+    root, s = str(tmp_path / "report"), "tour string, year int, metric string, value double"
+    cleaning.update_report(spark.createDataFrame([("atp", 2023, "rows", 1.0), ("atp", 2024, "rows", 2.0), ("atp", 2024, "status_count_typo", 1.0)], s), root)
+    out = cleaning.update_report(spark.createDataFrame([("atp", 2024, "rows", 3.0)], s), root)
+    assert sorted((r.year, r.metric, r.value) for r in out.collect()) == [(2023, "rows", 1.0), (2024, "rows", 3.0)]
+
+
 def test_fix_saves_season(spark, tmp_path):
     bad = write(tmp_path / "atp_2024.csv", ATP_HEADER, [atp_line(surface="Ice")])
     raw = {"atp": feed.scan_raw(spark, {("atp", 2024): bad})}
