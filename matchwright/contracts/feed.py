@@ -36,6 +36,14 @@ ODDS = tuple(f"odds_{name}_{side}" for name in BOOKMAKERS.values() for side in (
 SET_GAMES = tuple(f"{side}_set_{i}_games" for i in SETS for side in ("winner", "loser"))
 
 
+def required(tour: str) -> tuple[str, ...]:
+    """Raw columns that a season can't do without; keys, the year and round counts are derived."""
+    return (
+        ID_COLUMN[tour], SERIES_COLUMN[tour], "Location", "Tournament", "Date", "Court", "Surface",
+        "Round", "Best of", "Winner", "Loser", "Comment",
+    )
+
+
 def rename_map(tour: str) -> dict[str, str]:
     """Raw to clean names."""
     sides = {"W": "winner", "L": "loser"}

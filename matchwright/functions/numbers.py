@@ -15,9 +15,15 @@ def to_double(value: Column) -> Column:
 
 
 def to_long(value: Column) -> Column:
-    """Whole number or null. Text such as ``301.0`` is accepted, ``301.5`` is not whole."""
-    number = to_double(value)
-    return F.when(number == F.floor(number), number.try_cast("bigint"))
+    """Whole number or null, exact over the whole range of a long.
+
+    Text such as ``301.0`` or ``3e2`` is accepted, ``301.5`` is not whole. Only texts that are not
+    plain digits go through a decimal, and none through a double.
+    """
+    text = F.trim(value.cast("string"))
+    number = text.try_cast("decimal(38,10)")
+    whole = F.when(number == F.floor(number), number.try_cast("bigint"))
+    return F.coalesce(text.try_cast("bigint"), whole)
 
 
 def number_or(value: Column, default: float) -> Column:

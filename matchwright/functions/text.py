@@ -19,7 +19,7 @@ def _fold_tables() -> tuple[dict[str, str], dict[str, str]]:
     """ASCII part of every character's compatibility decomposition: one letter, or several."""
     one: dict[str, str] = {}
     many: dict[str, str] = {}
-    for point in range(0x80, 0x10000):
+    for point in range(0x80, 0x110000):
         if 0xD800 <= point <= 0xDFFF:
             continue
         char = chr(point)

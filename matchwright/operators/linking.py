@@ -46,6 +46,7 @@ ARCHIVE_COLUMNS = {
     "canonical_match_key": "string", "winner_id": "bigint", "loser_id": "bigint",
 }
 
+# The layouts of links, crosswalk and enriched matches, here and below.
 LINK_COLUMNS = {
     "source_match_key": "string", "canonical_match_key": "string",
     "official_tournament_id": "bigint", "year": "bigint", "tour": "string", "round": "string",
@@ -58,6 +59,11 @@ LINK_COLUMNS = {
 }
 
 
+def scope_of(block: tuple[str, ...], *frames: DataFrame) -> list[str]:
+    """The block without its event id: within it a match key is unique. Only what all frames have."""
+    return [c for c in block[:-1] if all(c in df.columns for df in frames)]
+
+
 def _links(df: DataFrame) -> DataFrame:
     return ensure_columns(df, LINK_COLUMNS).select(
         *[F.col(c).cast(t).alias(c) for c, t in LINK_COLUMNS.items()]
@@ -287,15 +293,17 @@ def name_groups(feed: DataFrame, archive: DataFrame, block: tuple[str, ...] = BL
 
 def name_links(groups: DataFrame, block: tuple[str, ...] = BLOCK) -> DataFrame:
     """Accepted links: one fitting archive record for the feed record, and the other way round."""
-    seen = groups.groupBy(F.col("f.source_match_key").alias("_f")).agg(
+    scope = scope_of(block)
+    seen = groups.groupBy(*scope, F.col("f.source_match_key").alias("_f")).agg(
         F.sum("m").alias("_m"),
         F.min("n").alias("_n"),
         F.min(F.struct("a", F.struct(*block, "round").alias("b"), "f")).alias("_pair"),
     )
-    back = groups.groupBy(F.col("a.canonical_match_key").alias("_a")).agg(F.sum("n").alias("_back"))
-    single = seen.where("_m = 1 and _n = 1").join(
-        back.where("_back = 1"), F.col("_pair.a.canonical_match_key") == F.col("_a")
+    back = groups.groupBy(*scope, F.col("a.canonical_match_key").alias("_a")).agg(
+        F.sum("n").alias("_back")
     )
+    single = seen.where("_m = 1 and _n = 1").withColumn("_a", F.col("_pair.a.canonical_match_key"))
+    single = single.join(back.where("_back = 1"), [*scope, "_a"])
     winner = agrees(F.col("_pair.f.winner_rank"), F.col("_pair.a.winner_rank"))
     loser = agrees(F.col("_pair.f.loser_rank"), F.col("_pair.a.loser_rank"))
     return _links(
@@ -345,18 +353,22 @@ def name_pairs(feed: DataFrame, archive: DataFrame, block: tuple[str, ...] = BLO
 # --- pass 0: manual links -----------------------------------------------------------------------
 
 
-def _due(manual: DataFrame, feed: DataFrame) -> DataFrame:
-    """Manual links of the seasons at hand; the table may hold others."""
-    return manual.join(feed.select("year").distinct(), "year", "left_semi")
+def _due(manual: DataFrame, feed: DataFrame, block: tuple[str, ...] = BLOCK) -> DataFrame:
+    """Manual links of the tours and seasons at hand; the table may hold others."""
+    scope = scope_of(block, manual, feed)
+    return manual.join(feed.select(*scope).distinct(), scope, "left_semi")
 
 
-def manual_problems(manual: DataFrame, feed: DataFrame, archive: DataFrame) -> DataFrame:
+def manual_problems(
+    manual: DataFrame, feed: DataFrame, archive: DataFrame, block: tuple[str, ...] = BLOCK
+) -> DataFrame:
     """Manual links that name an unknown record or name one twice; empty when all is well."""
-    due = _due(manual, feed)
+    due = _due(manual, feed, block)
     out = None
     for column, known in (("source_match_key", feed), ("canonical_match_key", archive)):
-        twice = due.groupBy(column).count().where("count > 1")
-        unknown = due.select(column).distinct().join(known.select(column), column, "left_anti")
+        keys = [*scope_of(block, manual, known), column]
+        twice = due.groupBy(*keys).count().where("count > 1")
+        unknown = due.select(*keys).distinct().join(known.select(*keys), keys, "left_anti")
         for rows, problem in ((twice, "named twice"), (unknown, "unknown")):
             part = rows.select(
                 F.lit(column).alias("column"),
@@ -367,19 +379,23 @@ def manual_problems(manual: DataFrame, feed: DataFrame, archive: DataFrame) -> D
     return out
 
 
-def manual_links(manual: DataFrame, feed: DataFrame, archive: DataFrame) -> DataFrame:
-    """Links named by hand, as accepted. Feed and archive must carry their official ids."""
-    left = ensure_columns(feed, FEED_COLUMNS).select(
-        "source_match_key", "official_tournament_id", "year", "tour", *RANKS
-    )
+def manual_links(
+    manual: DataFrame, feed: DataFrame, archive: DataFrame, block: tuple[str, ...] = BLOCK
+) -> DataFrame:
+    """Links named by hand, as accepted. Feed and archive must carry their official ids.
+
+    A manual table without a tour holds for every tour that has both records.
+    """
+    left = ensure_columns(feed, FEED_COLUMNS).select("source_match_key", *block, *RANKS)
     right = ensure_columns(archive, ARCHIVE_COLUMNS).select(
-        "canonical_match_key", "winner_id", "loser_id"
+        *scope_of(block), "canonical_match_key", "winner_id", "loser_id"
     )
+    given = scope_of(block, manual)
     named = (
-        _due(manual, feed)
-        .select("source_match_key", "canonical_match_key")
-        .join(left, "source_match_key")
-        .join(right, "canonical_match_key")
+        _due(manual, feed, block)
+        .select(*given, "source_match_key", "canonical_match_key")
+        .join(left, [*given, "source_match_key"])
+        .join(right, [*scope_of(block), "canonical_match_key"])
     )
     return _links(
         named.withColumns({"match_method": F.lit(MANUAL), "review_flag": F.lit(False)})
@@ -408,27 +424,20 @@ class Linked:
     @property
     def unmatched(self) -> DataFrame:
         """Feed records without a partner, with the reason."""
-        return (
-            self.feed.join(
-                self.status.where("linkage_status = 'unmatched'").select(
-                    "source_match_key", "linkage_status"
-                ),
-                "source_match_key",
-            )
-            .withColumn("unmatched_reason", unmatched_reason())
-        )
+        keys = [*scope_of(self.block), "source_match_key"]
+        rest = self.status.where("linkage_status = 'unmatched'").select(*keys, "linkage_status")
+        return self.feed.join(rest, keys).withColumn("unmatched_reason", unmatched_reason())
 
     def pairs(self) -> DataFrame:
         """Candidate pairs of the ambiguous records, one row per pass and pair."""
         by_pass = {}
+        keys = [*scope_of(self.block), "source_match_key"]
         for number in (1, 2):
             found = self.ambiguous.where(F.col("found_in_pass") == number)
-            by_pass[number] = self.feed.join(
-                found.select("source_match_key"), "source_match_key", "left_semi"
-            )
+            by_pass[number] = self.feed.join(found.select(*keys), keys, "left_semi")
         columns = [*self.block, "source_match_key", "canonical_match_key"]
         taken = self.accepted.where(F.col("match_method") != BY_NAMES)
-        free = self.archive.join(taken, "canonical_match_key", "left_anti")
+        free = self.archive.join(taken, [*scope_of(self.block), "canonical_match_key"], "left_anti")
         ranks = rank_pairs(by_pass[1], self.archive, self.block)
         fits = name_pairs(by_pass[2], free, self.block)
         return (
@@ -446,32 +455,35 @@ def link(
 ) -> Linked:
     """Run all passes for all seasons and tours at once.
 
-    Both frames carry the official id already (``attach_official_ids``) and unique match keys.
+    Both frames carry the official id already (``attach_official_ids``) and match keys that are
+    unique within tour and season (the block without its event id).
     A record that is ambiguous by rank gets another chance by names; a linked record is never
     reconsidered. The blocks of pass 1 and the name groups of pass 2 are stored once, because
     several later steps read them.
     """
     feed, archive = ensure_columns(feed, FEED_COLUMNS), ensure_columns(archive, ARCHIVE_COLUMNS)
-    by_hand = manual_links(manual, feed, archive) if manual is not None else None
+    scope = scope_of(block)
+    own, other = [*scope, "source_match_key"], [*scope, "canonical_match_key"]
+    by_hand = manual_links(manual, feed, archive, block) if manual is not None else None
     free_feed, free_archive = feed, archive
     if by_hand is not None:
         by_hand = materialize(by_hand)
-        free_feed = feed.join(by_hand, "source_match_key", "left_anti")
-        free_archive = archive.join(by_hand, "canonical_match_key", "left_anti")
+        free_feed = feed.join(by_hand, own, "left_anti")
+        free_archive = archive.join(by_hand, other, "left_anti")
 
     blocks = materialize(rank_blocks(free_feed, free_archive, block))
     first = rank_links(blocks)
     several = rank_ambiguous(free_feed, blocks, block).select(
-        "source_match_key", F.lit(1).alias("found_in_pass"),
+        *own, F.lit(1).alias("found_in_pass"),
         "source_candidate_count", "canonical_candidate_count",
     )
 
-    left = free_feed.join(first, "source_match_key", "left_anti")
-    right = free_archive.join(first, "canonical_match_key", "left_anti")
+    left = free_feed.join(first, own, "left_anti")
+    right = free_archive.join(first, other, "left_anti")
     groups = materialize(name_groups(left, right, block))
     second = name_links(groups, block)
     named = name_candidates(left, groups, block).select(
-        "source_match_key", F.lit(2).alias("found_in_pass"),
+        *own, F.lit(2).alias("found_in_pass"),
         "source_candidate_count", F.lit(None).cast("bigint").alias("canonical_candidate_count"),
     )
 
@@ -479,29 +491,27 @@ def link(
     if by_hand is not None:
         accepted = by_hand.unionByName(accepted)
     candidates = several.unionByName(named)
-    status = final_status(feed, accepted, candidates)
-    ambiguous = candidates.join(accepted, "source_match_key", "left_anti")
+    status = final_status(feed, accepted, candidates, scope)
+    ambiguous = candidates.join(accepted, own, "left_anti")
     return Linked(feed, archive, accepted, status, ambiguous, block)
 
 
-def final_status(feed: DataFrame, accepted: DataFrame, candidates: DataFrame) -> DataFrame:
+def final_status(
+    feed: DataFrame, accepted: DataFrame, candidates: DataFrame, scope: list[str] = ["year", "tour"]  # noqa: B006
+) -> DataFrame:
     """One status per feed record: linked beats ambiguous beats unmatched.
 
-    One shuffle by the match key: the strongest evidence per key is a minimum over a union.
+    One shuffle by scope and match key: the strongest evidence per key is a minimum over a union.
     """
-    every = feed.select("source_match_key", "year", "tour", F.lit(2).alias("_rank"))
+    own = [*scope, "source_match_key"]
+    every = feed.select(*own, F.lit(2).alias("_rank"))
     seen = accepted.select(
-        "source_match_key", F.lit(0).alias("_rank"), F.col("match_method").alias("_method")
-    ).unionByName(
-        candidates.select("source_match_key", F.lit(1).alias("_rank")),
-        allowMissingColumns=True,
-    )
+        *own, F.lit(0).alias("_rank"), F.col("match_method").alias("_method")
+    ).unionByName(candidates.select(*own, F.lit(1).alias("_rank")), allowMissingColumns=True)
     best = (
         every.unionByName(seen, allowMissingColumns=True)
-        .groupBy("source_match_key")
+        .groupBy(*own)
         .agg(
-            F.max("year").alias("year"),
-            F.max("tour").alias("tour"),
             F.min("_rank").alias("_rank"),
             F.max("_method").alias("match_method"),
         )
@@ -510,7 +520,7 @@ def final_status(feed: DataFrame, accepted: DataFrame, candidates: DataFrame) ->
         F.array(F.lit("linked"), F.lit("ambiguous"), F.lit("unmatched")), F.col("_rank") + 1
     )
     return best.select(
-        "source_match_key", "year", "tour", label.alias("linkage_status"), "match_method"
+        "source_match_key", *scope, label.alias("linkage_status"), "match_method"
     )
 
 
@@ -538,7 +548,9 @@ def crosswalk(accepted: DataFrame) -> DataFrame:
 
 def enrich(feed: DataFrame, archive: DataFrame, accepted: DataFrame) -> DataFrame:
     """Every feed record, with a fixed block of link and archive columns behind its own."""
+    scope = ["year", "tour"]
     links = accepted.select(
+        *scope,
         "source_match_key",
         "canonical_match_key",
         "official_tournament_id",
@@ -550,13 +562,13 @@ def enrich(feed: DataFrame, archive: DataFrame, accepted: DataFrame) -> DataFram
     )
     texts = ("winner_name", "loser_name", "tourney_id", "tourney_name", "round")
     truth = ensure_columns(archive, {c: "string" for c in texts}).select(
-        "canonical_match_key", *[F.col(c).alias(f"canonical_{c}") for c in texts]
+        *scope, "canonical_match_key", *[F.col(c).alias(f"canonical_{c}") for c in texts]
     )
-    detail = links.join(truth, "canonical_match_key", "left")
+    detail = links.join(truth, [*scope, "canonical_match_key"], "left")
     own = [c for c in feed.columns if c not in ENRICHED_BLOCK]
     return (
         feed.select(*own)
-        .join(detail, "source_match_key", "left")
+        .join(detail, [*scope, "source_match_key"], "left")
         .select(*own, *ENRICHED_BLOCK)
     )
 

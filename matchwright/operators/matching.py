@@ -279,22 +279,19 @@ def match_events(
 
 
 def apply_manual_ids(links: DataFrame, manual: DataFrame) -> DataFrame:
-    """Ids given by hand win over extracted ones, first by archive key, then by feed key."""
+    """Ids given by hand win over extracted ones, first by archive key, then by feed key.
+
+    Event ids repeat across tours and seasons: the tour and year of the manual row count too.
+    """
     given = manual.where("official_tournament_id is not null")
-    by_archive = given.where("sackmann_tourney_id is not null").select(
-        "sackmann_tourney_id", "official_tournament_id"
-    )
+    scope = [c for c in ("tour", "year") if c in given.columns and c in links.columns]
+    by_archive = given.where("sackmann_tourney_id is not null")
     by_feed = given.where("sackmann_tourney_id is null and uk_source_event_key is not null")
-    links = fill_or_override(
-        links, by_archive, "sackmann_tourney_id", "official_tournament_id", override=True
-    )
-    return fill_or_override(
-        links,
-        by_feed.select("uk_source_event_key", "official_tournament_id"),
-        "uk_source_event_key",
-        "official_tournament_id",
-        override=True,
-    )
+    for rows, column in ((by_archive, "sackmann_tourney_id"), (by_feed, "uk_source_event_key")):
+        keys = [*scope, column]
+        rows = rows.select(*keys, "official_tournament_id")
+        links = fill_or_override(links, rows, keys, "official_tournament_id", override=True)
+    return links
 
 
 def match_catalog(
@@ -320,4 +317,5 @@ def match_catalog(
 
 def backfill_ids(links: DataFrame, found: DataFrame) -> DataFrame:
     """Fill ids that are still blank; a known id is never replaced."""
-    return fill_or_override(links, found, "sackmann_tourney_id", "official_tournament_id")
+    scope = [c for c in ("tour", "year") if c in found.columns and c in links.columns]
+    return fill_or_override(links, found, [*scope, "sackmann_tourney_id"], "official_tournament_id")

@@ -12,7 +12,7 @@ from ..operators import identity, matching, merge
 from ..operators.columns import not_equal
 from ..operators.ordering import dedupe
 from ..session import materialize
-from ..sources.sinks import current, publish
+from ..sources.sinks import current, store, touched
 
 CROSSWALK = "tour string, location_key string, official_tournament_id bigint, location string"
 SOURCE_LINKS = (
@@ -63,9 +63,12 @@ def map_tournaments(
     new_places = earliest.select("tour", "location_key", "official_tournament_id", "location")
     old_places = current(spark, f"{root}/crosswalk", CROSSWALK)
     conflicts = materialize(merge.conflict_report(old_places, new_places, ["tour"]))
-    publish(
-        merge.upsert(old_places, new_places, ["tour", "location_key"], keep="first"),
+    store(
+        merge.upsert(
+            touched(old_places, new_places, ["tour"]), new_places, ["tour", "location_key"], keep="first"
+        ),
         f"{root}/crosswalk",
+        ["tour"],
         sort=["tour", "location_key"],
     )
 
@@ -78,10 +81,9 @@ def map_tournaments(
             for t in ("atp", "wta")
         ]
         forced = per_tour[0].unionByName(per_tour[1])
-    merged = merge.priority_merge(
-        old_links, identity.source_links(links).select(*old_links.columns), forced, keys=key
-    )
-    publish(merged, f"{root}/source_links", sort=key)
+    new_links = identity.source_links(links).select(*old_links.columns)
+    merged = merge.priority_merge(touched(old_links, new_links, block), new_links, forced, keys=key)
+    store(merged, f"{root}/source_links", block, sort=key)
     return Mapping(
         links,
         found.review,

@@ -427,7 +427,9 @@ def final_status(spark, sf):
         F.lit(2024).cast("bigint").alias("year"),
         F.lit("x").alias("tour"),
     )
-    accepted = lines.where("l_returnflag = 'R'").select(key, F.lit("rank").alias("match_method"))
-    candidates = lines.where("l_returnflag = 'A'").select(key)
+    season = [F.lit(2024).cast("bigint").alias("year"), F.lit("x").alias("tour")]
+    method = F.lit("rank").alias("match_method")
+    accepted = lines.where("l_returnflag = 'R'").select(key, *season, method)
+    candidates = lines.where("l_returnflag = 'A'").select(key, *season)
     status = linking.final_status(feed, accepted, candidates)
     return status.select("source_match_key", "linkage_status")

@@ -40,7 +40,7 @@ def scan_round_trip(spark, sf):
     ):
         rows = rows.withColumn("extra", F.lit("?"))
         rows.select(*header).write.option("header", True).csv(f"{landing}/{name}")
-    raw = files.read_text_csv(spark, [f"{landing}/early", f"{landing}/late"])
+    raw = files.reject_ragged(files.read_text_csv(spark, [f"{landing}/early", f"{landing}/late"]))
     typed = columns.coerce(raw, longs=["o_orderkey", "o_custkey"], days=["day"])
     typed = typed.drop("extra", "_file").withColumn("year", F.year("day").cast("bigint"))
     sinks.overwrite_partitions(typed, store, ["year"], sort=["o_orderkey"])
@@ -130,7 +130,7 @@ def mapping_scan(spark, sf):
     rows = table(spark, sf, "nation").select(
         F.lit("nation").alias("origin"), c("n_nationkey").cast("bigint").alias("id")
     )
-    sinks.publish(rows, root)
+    sinks.store(rows, root, ["origin"])
     there = sinks.current(spark, root, schema)
     return there.unionByName(files.read_table(spark, f"{root}/never", schema))
 
@@ -290,6 +290,7 @@ def curated_dataset(spark, sf):
     history = other.withColumn(
         "score", F.concat(F.lit("6-"), c("loser_rank") % 5, ret)
     )
+    history = history.withColumn("source_year", c("year"))
     history = columns.ensure_columns(history, dict.fromkeys(archive_contract.layout("singles"), "string"))
     out = curated.curated_matches(history.withColumn("tourney_date", F.lit(None).cast("date")), enriched)
     return out.select(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates
 from ..operators import joins, linking, matching, profile
-from ..plans.linking import review
+from ..plans.linking import KEY, review
 from .registry import query, table
 
 c = F.col
@@ -91,6 +91,7 @@ def bridge(spark, sf):
     sides = [
         known.select(
             c("s_suppkey").alias("official_tournament_id"),
+            F.lit("all").alias("tour"),
             years,
             F.lit(tag).alias("source"),
             F.concat(F.lit(letter), c("s_suppkey")).alias("source_tournament_id"),
@@ -274,7 +275,7 @@ def id_agreement(spark, sf):
         "winner_id",
         F.when(last == 0, F.lit(-1)).when(last == 1, F.lit(None)).otherwise(c("winner_id")),
     )
-    wrong = joins.disagreeing_ids(damaged, archive, "canonical_match_key", ["winner_id", "loser_id"])
+    wrong = joins.disagreeing_ids(damaged, archive, [*KEY, "canonical_match_key"], ["winner_id", "loser_id"])
     return wrong.select("canonical_match_key", "winner_id")
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable, Mapping
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -12,38 +14,76 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ..operators.columns import union_seasons
 
 
-def header_of(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """Column names of one drop (a file, or a folder of parts with one header); reads one line."""
-    return tuple(spark.read.option("header", True).csv(path).columns)
+RAGGED = "_ragged"
 
 
-def read_text_csv(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
-    """Drops with drifting headers as one frame of text columns, with ``_file`` for its origin.
+def headers_of(spark: SparkSession, paths: Iterable[str]) -> dict[str, tuple[str, ...]]:
+    """Header of every file below ``paths`` (files, or folders of parts), read by one job.
 
-    Drops are grouped by their exact header; each group is one scan with its own schema, and the
+    Only the first line of each file reaches the driver. Empty files have no entry.
+    """
+    lines = spark.read.text(list(paths)).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("at"),
+    )
+    first = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    return {
+        r["file"]: tuple(next(csv.reader([r["header"]]))) for r in first.collect() if r["header"].strip()
+    }
+
+
+def read_text_csv(
+    spark: SparkSession,
+    paths: Iterable[str],
+    headers: Mapping[str, tuple[str, ...]] | None = None,
+) -> DataFrame:
+    """Files with drifting headers as one frame of text columns, with ``_file`` for the origin.
+
+    Files are grouped by their exact header; each group is one scan with its own schema, and the
     groups are joined up by name. One scan over all of them would apply the first header to every
-    file and swap values silently. Within a group Spark verifies the header of every part. Only
-    the headers are read on the driver: one line per drop, and a drop is a season of a tour.
+    file and swap values silently. Within a group Spark verifies the header of every file.
+
+    Lines with more or fewer fields than the header are kept whole in the column ``_ragged``, null
+    for all others; see ``ragged_lines`` and ``reject_ragged``. ``headers`` is what ``headers_of``
+    found, if that is known already.
     """
+    known = headers_of(spark, paths) if headers is None else headers
     groups: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        groups.setdefault(header_of(spark, path), []).append(path)
+    for file, header in sorted(known.items()):
+        groups.setdefault(header, []).append(unquote(file))
     if not groups:
         raise ValueError("no files to read")
     frames = []
     for header, members in groups.items():
-        schema = StructType([StructField(c, StringType()) for c in header])
+        schema = StructType([StructField(c, StringType()) for c in (*header, RAGGED)])
         scan = (
             spark.read.schema(schema)
             .option("header", True)
             .option("enforceSchema", False)
             .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", RAGGED)
+            .option("columnPruning", False)
             .csv(members)
         )
         frames.append(scan.select("*", F.col("_metadata.file_path").alias("_file")))
     return union_seasons(frames)
 
 
+def ragged_lines(df: DataFrame) -> DataFrame:
+    """Number of ragged lines per file."""
+    found = df.where(F.col(RAGGED).isNotNull()).select("*")
+    return found.groupBy("_file").agg(F.count("*").alias("lines"))
+
+
+def reject_ragged(df: DataFrame) -> DataFrame:
+    """The same rows without the column; the first ragged line ends the job with its text."""
+    told = F.concat(F.lit("ragged line in "), "_file", F.lit(": "), RAGGED)
+    sound = F.when(F.col(RAGGED).isNull(), True).otherwise(F.raise_error(told).cast("boolean"))
+    return df.where(sound).drop(RAGGED)
+
+
 def read_table(spark: SparkSession, path: str, schema: str, fmt: str = "parquet") -> DataFrame:
     """A typed table; an empty one with the same columns where nothing was written yet."""
     try:

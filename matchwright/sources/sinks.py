@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import time
-import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .files import read_table
 
-_LOG = "seq bigint, path string"
-
 
 def overwrite_partitions(
     df: DataFrame, path: str, by: list[str], *, sort: list[str] | None = None, fmt: str = "parquet"
@@ -29,24 +27,58 @@ def overwrite_partitions(
     ).partitionBy(*by).format(fmt).save(path)
 
 
-def publish(df: DataFrame, root: str, *, sort: list[str] | None = None) -> None:
-    """Write a new version of a keyed table beside the old one, then append it to the version log.
+def clear_partitions(
+    spark: SparkSession, path: str, by: list[str], emptied: Iterable[tuple]
+) -> None:
+    """Remove whole partitions, named by their values in the order of ``by``."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for values in emptied:
+        folder = "/".join(f"{c}={v}" for c, v in zip(by, values, strict=True))
+        target = hadoop.Path(f"{path.rstrip('/')}/{folder}")
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
 
-    The result may be computed from the current version: nothing is overwritten, and a failed run
-    leaves the log, and so the readers, at the version before.
+def replace_partitions(
+    df: DataFrame,
+    path: str,
+    by: list[str],
+    due: Iterable[tuple],
+    *,
+    sort: list[str] | None = None,
+    fmt: str = "parquet",
+) -> None:
+    """Make the partitions named in ``due`` hold exactly the rows of ``df``.
+
+    Partitions of ``due`` without a row now are removed, so nothing stale is left behind; all
+    others stay. Full partitions are replaced before empty ones are removed, and a run that ends in
+    between is mended by the next. One writer per partition at a time.
+    """
+    overwrite_partitions(df, path, by, sort=sort, fmt=fmt)
+    filled = {tuple(str(x) for x in r) for r in df.select(*by).distinct().collect()}
+    emptied = [x for x in due if tuple(str(v) for v in x) not in filled]
+    clear_partitions(df.sparkSession, path, by, emptied)
+
+
+def store(df: DataFrame, path: str, by: list[str], *, sort: list[str] | None = None) -> DataFrame:
+    """Overwrite the touched partitions of a keyed table by rows that may be computed from it.
+
+    The rows are staged in the shared folder first, so the table is never read while it is being
+    replaced. Returns the staged rows.
     """
     spark = df.sparkSession
-    path = f"{root.rstrip('/')}/data-{uuid.uuid4().hex[:12]}"
-    out = df.sortWithinPartitions(*sort) if sort else df
-    out.write.parquet(path)
-    entry = spark.createDataFrame([(time.time_ns(), path)], _LOG)
-    entry.coalesce(1).write.mode("append").json(f"{root.rstrip('/')}/log")
-
-
-def current(spark: SparkSession, root: str, schema: str) -> DataFrame:
-    """The latest published version; an empty table before the first."""
-    log = read_table(spark, f"{root.rstrip('/')}/log", _LOG, "json")
-    latest = log.orderBy(F.desc("seq")).limit(1).collect()
-    if not latest:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(latest[0].path)
+    stage = scratch_path(spark, "stage")
+    df.write.parquet(stage)
+    rows = spark.read.schema(df.schema).parquet(stage)
+    overwrite_partitions(rows, path, by, sort=sort)
+    return rows
+
+
+def touched(existing: DataFrame, incoming: DataFrame, by: list[str]) -> DataFrame:
+    """The stored rows of the partitions that incoming rows touch."""
+    return existing.join(incoming.select(*by).distinct(), by, "left_semi")
+
+
+def current(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A stored table; an empty one before the first write."""
+    order = spark.createDataFrame([], schema).columns
+    return read_table(spark, path, schema).select(*order)

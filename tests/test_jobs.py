@@ -147,8 +147,12 @@ def test_tables(spark, tmp_path):
     root = str(tmp_path / "t")
     assert sinks.current(spark, root, schema).count() == 0
     for v in (1, 2):
-        sinks.publish(sinks.current(spark, root, schema).unionByName(spark.createDataFrame([("a", v)], schema)), root)
+        old = sinks.current(spark, root, schema)
+        sinks.store(old.unionByName(spark.createDataFrame([("a", v)], schema)), root, ["k"])
     assert sinks.current(spark, root, schema).count() == 2
+    new = spark.createDataFrame([("b", 3)], schema)
+    sinks.replace_partitions(new, root, ["k"], [("a",), ("b",), ("c",)])
+    assert [tuple(r) for r in sinks.current(spark, root, schema).collect()] == [("b", 3)]
     part = str(tmp_path / "p")
     for rows in ([("atp", 2020, 1), ("atp", 2021, 1)], [("atp", 2021, 2), ("atp", 2021, 3)]):
         sinks.overwrite_partitions(spark.createDataFrame(rows, "tour string, year int, v int"), part, ["tour", "year"])
