@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import names
-from ..session import materialize
+from ..session import materialize, stage
 from .columns import ensure_columns
 
 MANUAL = "manual_override"
@@ -225,32 +225,45 @@ def _same(keys: tuple[str, ...], left: str, right: str) -> Column:
     return out
 
 
-def _feed_names(df: DataFrame) -> DataFrame:
-    """Surname and initials of both players, for records that have both names.
+def _spellings(df: DataFrame) -> DataFrame:
+    """Every different spelling of a name, once."""
+    spelled = df.select(F.explode(F.array("winner_name", "loser_name")).alias("name"))
+    return spelled.where("name is not null").distinct()
+
+
+def short_names(feed: DataFrame) -> DataFrame:
+    """(name, family, letters): surname and initials of every spelling in the feed."""
+    # The parsed name leaves a generator, so that filters don't parse it again.
+    parsed = F.explode(F.array(names.parse_abbreviated(F.col("name")))).alias("_short")
+    return _spellings(feed).select("name", parsed).where("_short.surname <> ''").select(
+        "name",
+        names.compact(F.col("_short.surname")).alias("family"),
+        F.col("_short.initials").alias("letters"),
+    )
+
+
+def full_names(archive: DataFrame) -> DataFrame:
+    """(name, family, given): every surname reading of every spelling in the archive."""
+    runs = F.explode(names.trailing_runs(F.col("name"))).alias("_run")
+    return _spellings(archive).select("name", runs).select(
+        "name", F.col("_run.run").alias("family"), F.col("_run.given").alias("given")
+    )
 
-    The parsed names leave a generator, so filters the optimizer derives from the join apply to
-    them instead of parsing every name once more.
-    """
-    parsed = df.where(F.col("winner_name").isNotNull() & F.col("loser_name").isNotNull())
-    for side in ("winner", "loser"):
-        short = F.explode(F.array(names.parse_abbreviated(F.col(f"{side}_name")))).alias("_short")
-        parsed = parsed.select("*", short).where("_short.surname <> ''").select(
-            "*",
-            names.compact(F.col("_short.surname")).alias(f"_{side}_family"),
-            F.col("_short.initials").alias(f"_{side}_letters"),
-        ).drop("_short")
-    return parsed
 
+def spelled(feed: DataFrame, archive: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both name tables, parsed and staged once; they grow with the people, not the records."""
+    return stage(short_names(feed), "short-names"), stage(full_names(archive), "full-names")
 
-def _archive_names(df: DataFrame) -> DataFrame:
-    """One row for every surname reading of both players."""
+
+def _with_names(df: DataFrame, table: DataFrame, value: str) -> DataFrame:
+    """The parsed names of both players; records with an unknown name drop out."""
     for side in ("winner", "loser"):
-        runs = F.explode(names.trailing_runs(F.col(f"{side}_name"))).alias("_run")
-        df = df.select("*", runs).select(
-            "*",
-            F.col("_run.run").alias(f"_{side}_family"),
-            F.col("_run.given").alias(f"_{side}_given"),
-        ).drop("_run")
+        own = table.select(
+            F.col("name").alias(f"{side}_name"),
+            F.col("family").alias(f"_{side}_family"),
+            F.col(value).alias(f"_{side}_{value}"),
+        )
+        df = df.join(own, f"{side}_name")
     return df
 
 
@@ -265,11 +278,17 @@ def _fitting(left: DataFrame, right: DataFrame, block: tuple[str, ...]) -> DataF
     )
 
 
-def name_groups(feed: DataFrame, archive: DataFrame, block: tuple[str, ...] = BLOCK) -> DataFrame:
+def name_groups(
+    feed: DataFrame,
+    archive: DataFrame,
+    block: tuple[str, ...] = BLOCK,
+    parsed: tuple[DataFrame, DataFrame] | None = None,
+) -> DataFrame:
     """Pairs of fitting (block, round, name pair) groups with the number of records in each.
 
     Records with the same spelling are counted before names are parsed and compared, so copies of
-    one record cost nothing here. ``f`` and ``a`` hold the record of a group of one.
+    one record cost nothing here. ``f`` and ``a`` hold the record of a group of one. ``parsed`` are
+    the name tables (``spelled``) of frames that hold these records.
     """
     keys = [*block, "round", *_NAMES]
     left = (
@@ -287,7 +306,9 @@ def name_groups(feed: DataFrame, archive: DataFrame, block: tuple[str, ...] = BL
             F.min(F.struct("canonical_match_key", "winner_id", "loser_id", *RANKS)).alias("a"),
         )
     )
-    pairs = _fitting(_feed_names(left), _archive_names(right), block)
+    short, full = spelled(feed, archive) if parsed is None else parsed
+    left, right = _with_names(left, short, "letters"), _with_names(right, full, "given")
+    pairs = _fitting(left, right, block)
     return pairs.select(*[F.col(f"u.{c}") for c in keys], "n", "f", "m", "a")
 
 
@@ -341,10 +362,10 @@ def name_candidates(
 def name_pairs(feed: DataFrame, archive: DataFrame, block: tuple[str, ...] = BLOCK) -> DataFrame:
     """Key pairs with fitting names: the review list of chosen records."""
     keys = [*block, "round", *_NAMES]
-    left = _feed_names(feed.dropna(subset=[block[-1], *_NAMES]).select("source_match_key", *keys))
-    right = _archive_names(
-        archive.dropna(subset=[block[-1], *_NAMES]).select("canonical_match_key", *keys)
-    )
+    left = feed.dropna(subset=[block[-1], *_NAMES]).select("source_match_key", *keys)
+    right = archive.dropna(subset=[block[-1], *_NAMES]).select("canonical_match_key", *keys)
+    left = _with_names(left, short_names(left), "letters")
+    right = _with_names(right, full_names(right), "given")
     return _fitting(left, right, block).select(
         *[F.col(f"u.{c}") for c in (*block, "round")], "source_match_key", "canonical_match_key"
     )
@@ -480,7 +501,7 @@ def link(
 
     left = free_feed.join(first, own, "left_anti")
     right = free_archive.join(first, other, "left_anti")
-    groups = materialize(name_groups(left, right, block))
+    groups = materialize(name_groups(left, right, block, spelled(feed, archive)))
     second = name_links(groups, block)
     named = name_candidates(left, groups, block).select(
         *own, F.lit(2).alias("found_in_pass"),

@@ -123,9 +123,13 @@ def candidates(
         *block, "l_id", "r_id", "_date", "_surface",
         F.explode("l_names").alias("_a"), "r_names",
     ).withColumn("_b", F.explode("r_names"))
-    bound = NAME_WEIGHT * similarity.ratio_bound(F.col("_a"), F.col("_b")) + rest
+    variants = variants.withColumn("_rest", rest)
+    bound = NAME_WEIGHT * similarity.ratio_bound(F.col("_a"), F.col("_b")) + F.col("_rest")
     variants = variants.where(bound >= floor - _SLACK).drop("r_names")
-    names = variants.select("_a", "_b").distinct()
+    # Of the distinct pairs only those whose shared characters allow the least ratio asked of them.
+    asked = variants.groupBy("_a", "_b").agg(F.max("_rest").alias("_rest"))
+    close = NAME_WEIGHT * similarity.shared_bound(F.col("_a"), F.col("_b")) + F.col("_rest")
+    names = asked.where(close >= floor - _SLACK).select("_a", "_b")
     rated = names.withColumn("_ratio", similarity.sequence_ratio("_a", "_b"))
     best = (
         variants.join(rated, ["_a", "_b"])
@@ -147,36 +151,37 @@ def candidates(
 def assign(scored: DataFrame, block: list[str]) -> DataFrame:
     """Greedy one-to-one choice: best score first, both partners then taken.
 
-    Equal to walking down the list sorted by score, pair hash and ids: a pair that is best for
-    both of its partners would be taken by that walk before anything that competes with it. Each
-    round takes all such pairs at once, everywhere, and drops what competes. Ties are ordered by a
-    hash, so long runs of equal scores resolve in few rounds instead of one pair per round.
+    Equal to walking down the list sorted by score, MD5 of the pair of ids, and ids: a pair that is
+    best for both of its partners would be taken by that walk before anything that competes with
+    it. Each round takes all such pairs at once, everywhere, drops what competes, and ends in one
+    checkpoint that holds the pairs taken so far and the open ones. Ties are ordered by a hash, so
+    long runs of equal scores resolve in few rounds; the number of rounds follows the longest
+    chain of pairs in which each competes with the next and scores rise.
     """
-    order = F.struct(-F.col("score"), F.col("_tie"), F.col("l_id"), F.col("r_id"))
-    open_pairs = materialize(scored.withColumn("_tie", F.xxhash64("l_id", "r_id")))
-    taken = None
-    while not open_pairs.isEmpty():
-        of_left = open_pairs.groupBy(*block, "l_id").agg(F.min(order).alias("_best"))
-        of_right = open_pairs.groupBy(*block, "r_id").agg(F.min(order).alias("_best"))
-        mutual = materialize(
-            of_left.join(
-                of_right.select(*block, F.col("r_id"), F.col("_best").alias("_back")),
-                [F.col("_best.r_id") == F.col("r_id"), F.col("_best") == F.col("_back")]
-                + [of_left[c] == of_right[c] for c in block],
-            ).select(
-                *[of_left[c] for c in block],
-                "l_id",
-                "r_id",
-                (-F.col("_best.col1")).alias("score"),
-            )
+    tie = F.md5(F.concat_ws("|", F.col("l_id").cast("string"), F.col("r_id").cast("string")))
+    order = F.struct((-F.col("score")).alias("down"), "_tie", "l_id", "r_id")
+    pairs = scored.select(*block, "l_id", "r_id", "score", tie.alias("_tie"))
+    state = materialize(pairs.withColumn("_taken", F.lit(False)))
+    while True:
+        still_open = state.where("not _taken")
+        if still_open.isEmpty():
+            return state.select(*block, "l_id", "r_id", "score")
+        of_left = still_open.groupBy(*block, "l_id").agg(F.min(order).alias("_best"))
+        of_right = still_open.groupBy(*block, "r_id").agg(F.min(order).alias("_best"))
+        mutual = of_left.select(*block, "_best").join(
+            of_right.select(*block, "_best"), [*block, "_best"]
         )
-        taken = mutual if taken is None else taken.unionByName(mutual)
-        open_pairs = materialize(
-            open_pairs.join(mutual.select(*block, "l_id"), [*block, "l_id"], "left_anti").join(
-                mutual.select(*block, "r_id"), [*block, "r_id"], "left_anti"
-            )
+        mutual = mutual.select(
+            *block,
+            "_best.l_id",
+            "_best.r_id",
+            (-F.col("_best.down")).alias("score"),
+            "_best._tie",
+            F.lit(True).alias("_taken"),
         )
-    return taken if taken is not None else open_pairs.drop("_tie")
+        rest = still_open.join(mutual.select(*block, "l_id"), [*block, "l_id"], "left_anti")
+        rest = rest.join(mutual.select(*block, "r_id"), [*block, "r_id"], "left_anti")
+        state = materialize(state.where("_taken").unionByName(mutual).unionByName(rest))
 
 
 # --- tournaments --------------------------------------------------------------------------------

@@ -41,5 +41,5 @@ def weakest_first(df: DataFrame, score: str, below: float, ties: list[str]) -> D
 
 
 def seeded_sample(df: DataFrame, keys: list[str], n: int, seed: int) -> DataFrame:
-    """n rows drawn by a hash of the key: the same rows whatever the partitioning."""
-    return df.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(n)
+    """n rows drawn by MD5 of key and seed: the same rows whatever the partitioning or engine."""
+    return df.orderBy(F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed)))), *keys).limit(n)

@@ -405,10 +405,10 @@ def duplicate_keys(spark, sf):
 
 @query("""
 SELECT p_brand AS place, CAST(count(DISTINCT p_type) AS BIGINT) AS ids FROM part
-WHERE p_size < 25 GROUP BY 1 HAVING count(DISTINCT p_type) > 1
+GROUP BY 1 HAVING count(DISTINCT p_type) > 1
 """)
 def ambiguous_places(spark, sf):
-    part = table(spark, sf, "part").where("p_size < 25")
+    part = table(spark, sf, "part")
     return identity.ambiguous_places(part.withColumnRenamed("p_brand", "place"), "place", "p_type")
 
 

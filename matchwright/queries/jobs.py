@@ -273,6 +273,105 @@ def linking_job(spark, sf):
     )
 
 
+def _job_inputs(spark, sf):
+    """Feed, archive and bridge of the linking job; sources carry the names the job expects."""
+    lines = linkage.records(spark, sf)
+    tags = {"feed": "tennis_data_uk", "archive": "sackmann"}
+    ids = linkage.bridge(spark, sf).withColumn("source", columns.recode(c("source"), tags))
+    feed = lines.where(c("event").startswith("F")).drop("winner_id", "loser_id")
+    feed = feed.withColumnsRenamed({"key": "source_match_key", "event": "source_event_key"})
+    other = lines.where(c("event").startswith("A")).withColumnsRenamed(
+        {"key": "canonical_match_key", "event": "tourney_id", "year": "source_year"}
+    )
+    return feed, other, ids
+
+
+def _twice(df, shift=None):
+    """The same rows for two tours; ids of the second are shifted where that is asked for."""
+    second = df.withColumn("tour", F.lit("wta"))
+    if shift is not None:
+        second = second.withColumn(shift, c(shift) + 1_000_000)
+    return df.withColumn("tour", F.lit("atp")).unionByName(second)
+
+
+@query(linkage._BASE + """
+SELECT tour, year, CAST(count(*) FILTER (linkage_status = 'linked') AS BIGINT) AS stored_links,
+  CAST(count(*) FILTER (linkage_status = 'linked') AS BIGINT) AS exported,
+  CAST(sum(CASE WHEN linkage_status = 'linked' THEN oid + CASE tour WHEN 'wta' THEN 1000000 ELSE 0 END END) AS BIGINT) AS id_sum
+FROM st, (VALUES ('atp'), ('wta')) t(tour) GROUP BY tour, year
+""")
+def two_tours_job(spark, sf):
+    """Two tours with equal event ids and match keys, linked, stored and exported in one run."""
+    feed, other, ids = _job_inputs(spark, sf)
+    root = scratch_path(spark, "two-tours")
+    linking_job_plan.link_seasons(
+        spark, _twice(feed), _twice(other), _twice(ids, "official_tournament_id"), root
+    )
+    enriched = spark.read.parquet(f"{root}/enriched_matches")
+    enriched = columns.ensure_columns(enriched, dict.fromkeys(curated.FEED_COLUMNS, "string"))
+    history = _twice(other).withColumns(
+        {"score": F.lit("6-1 6-2"), "tourney_date": F.make_date(c("source_year") - 1, F.lit(12), F.lit(31))}
+    )
+    history = columns.ensure_columns(history, dict.fromkeys(archive_contract.layout("singles"), "string"))
+    curated.export(curated.curated_matches(history, enriched), f"{root}/export")
+    links = spark.read.parquet(f"{root}/match_links").groupBy("tour", "year")
+    out = spark.read.parquet(f"{root}/export").groupBy("tour", "year")
+    return (
+        links.agg(F.count("*").alias("stored_links"), F.sum("official_tournament_id").alias("id_sum"))
+        .join(out.agg(F.count("*").alias("exported")), ["tour", "year"])
+        .select("tour", c("year").cast("bigint").alias("year"), "stored_links", "exported", "id_sum")
+    )
+
+
+@query(linkage._BASE + """
+SELECT year, CAST(count(*) FILTER (linkage_status = 'linked') AS BIGINT) AS linked,
+  CAST(count(*) FILTER (linkage_status = 'ambiguous') AS BIGINT) AS ambiguous,
+  CAST(count(*) FILTER (linkage_status = 'unmatched') AS BIGINT) AS unmatched
+FROM st GROUP BY year
+""")
+def linking_rerun(spark, sf):
+    """Linked twice: first with a rival of every archive record, then without; nothing stale stays."""
+    feed, other, ids = _job_inputs(spark, sf)
+    rivals = other.withColumn("canonical_match_key", F.concat("canonical_match_key", F.lit("-rival")))
+    root = scratch_path(spark, "relinked")
+    linking_job_plan.link_seasons(spark, feed, other.unionByName(rivals), ids, root)
+    summary = linking_job_plan.link_seasons(spark, feed, other, ids, root)
+
+    def stored(name, out):
+        rows = spark.read.parquet(f"{root}/{name}")
+        return rows.groupBy("year").agg(F.count("*").alias(out))
+
+    seasons = summary.select("year")
+    for name, out in (("match_links", "linked"), ("ambiguous", "ambiguous"), ("unmatched", "unmatched")):
+        seasons = seasons.join(stored(name, out), "year", "left")
+    zero = F.lit(0).cast("bigint")
+    return seasons.select(
+        c("year").cast("bigint").alias("year"),
+        *[F.coalesce(x, zero).alias(x) for x in ("linked", "ambiguous", "unmatched")],
+    )
+
+
+@query("""
+WITH o AS (SELECT o_orderkey AS k, CAST(year(CAST(o_orderdate AS DATE) + INTERVAL 10 DAY) AS BIGINT) AS year FROM orders)
+SELECT year, CAST(count(*) AS BIGINT) AS n, CAST(sum(k) AS BIGINT) AS keys FROM o
+WHERE year <> 1996 OR k % 2 = 0 GROUP BY year
+""")
+def export_rerun(spark, sf):
+    """Seasons begin in late December; exporting one again leaves the others as they are."""
+    day = c("o_orderdate").cast("date")
+    rows = table(spark, sf, "orders").select(
+        F.lit("atp").alias("tour"),
+        F.year(F.date_add(day, 10)).cast("bigint").alias("source_year"),
+        day.alias("tourney_date"),
+        c("o_orderkey").alias("match_num"),
+    )
+    path = scratch_path(spark, "export")
+    curated.export(rows, path)
+    curated.export(rows.where((c("source_year") == 1996) & (c("match_num") % 2 == 0)), path)
+    back = spark.read.parquet(path).groupBy(c("year").cast("bigint").alias("year"))
+    return back.agg(F.count("*").alias("n"), F.sum("match_num").alias("keys"))
+
+
 @query(linkage._BASE + """
 SELECT kk AS canonical_match_key, CAST(k.wr AS BIGINT) AS winner_rank, k.rnd AS round, 'tournament_rank_unique' AS match_method,
   CAST(6 AS BIGINT) AS set1_winner, CAST(k.lr % 5 AS BIGINT) AS set1_loser, round(u.wp, 2) AS odds_avg_winner,

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import dates
 from ..operators import joins, linking, matching, profile
 from ..plans.linking import KEY, review
+from ..session import materialize
 from .registry import query, table
 
 c = F.col
@@ -149,10 +150,11 @@ FROM a2
 def round_block_links(spark, sf):
     """Name pairs inside (event, round) for what the ranks left over."""
     feed, archive = both_sides(spark, sf)
-    first = linking.rank_links(linking.rank_blocks(feed, archive))
+    first = linking.rank_links(materialize(linking.rank_blocks(feed, archive)))
     left = joins.residual(feed, first, "source_match_key")
     right = joins.residual(archive, first, "canonical_match_key")
-    links = linking.name_links(linking.name_groups(left, right))
+    parsed = linking.spelled(feed, archive)
+    links = linking.name_links(materialize(linking.name_groups(left, right, parsed=parsed)))
     return links.select(
         "source_match_key", "canonical_match_key", "data_quality_flag",
         "winner_rank_agrees", "loser_rank_agrees",
@@ -386,28 +388,61 @@ def pair_score(spark, sf):
     return _scored_orders(spark, sf).withColumn("score", F.round("score", 4))
 
 
-@query()
+@query("""
+WITH RECURSIVE o AS (SELECT *, CAST(o_orderdate AS DATE) AS day FROM orders),
+s AS (
+  SELECT a.o_custkey, a.o_orderkey AS l_id, b.o_orderkey AS r_id,
+    round(0.5 * CAST(a.o_orderpriority = b.o_orderpriority AS INT) + 0.4 * (1 - abs(a.day - b.day) / 10.0)
+      + 0.1 * CAST(a.o_orderstatus = b.o_orderstatus AS INT), 4) AS score
+  FROM o a JOIN o b ON a.o_custkey = b.o_custkey AND a.o_orderkey % 2 = 1 AND b.o_orderkey % 2 = 0
+   AND abs(a.day - b.day) < 10),
+p AS (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY score DESC, md5(l_id || '|' || r_id), l_id, r_id) AS n
+  FROM s WHERE score >= 0.5),
+w AS (
+  SELECT o_custkey, n, l_id, r_id, score, true AS taken, [l_id] AS ls, [r_id] AS rs FROM p WHERE n = 1
+  UNION ALL
+  SELECT p.o_custkey, p.n, p.l_id, p.r_id, p.score,
+    NOT (list_contains(w.ls, p.l_id) OR list_contains(w.rs, p.r_id)),
+    CASE WHEN list_contains(w.ls, p.l_id) OR list_contains(w.rs, p.r_id) THEN w.ls ELSE list_append(w.ls, p.l_id) END,
+    CASE WHEN list_contains(w.ls, p.l_id) OR list_contains(w.rs, p.r_id) THEN w.rs ELSE list_append(w.rs, p.r_id) END
+  FROM w JOIN p ON p.o_custkey = w.o_custkey AND p.n = w.n + 1)
+SELECT o_custkey, l_id, r_id, score FROM w WHERE taken
+""")
 def greedy_match(spark, sf):
-    """One-to-one choice among those pairs; checked against a sorted walk in the tests."""
-    scored = _scored_orders(spark, sf).where(c("score") >= matching.FLOOR)
-    return matching.assign(scored, ["o_custkey"])
+    """One-to-one choice among those pairs."""
+    scored = _scored_orders(spark, sf).withColumn("score", F.round("score", 4))
+    return matching.assign(scored.where(c("score") >= matching.FLOOR), ["o_custkey"])
 
 
-@query()
+@query("""
+WITH n AS (SELECT p_brand, p_partkey, p_size % 2 AS s, p_type AS t, p_size % 20 AS k, p_size % 7 AS m FROM part),
+p AS (SELECT a.p_brand AS year, a.p_partkey AS l_id, b.p_partkey AS r_id,
+    0.5 * 64 / (64 + a.k + b.m) + CASE WHEN a.s = b.s THEN 0.1 ELSE 0 END AS score
+  FROM n a JOIN n b ON a.p_brand = b.p_brand AND a.t = b.t AND a.p_partkey % 2 = 1 AND b.p_partkey % 2 = 0)
+SELECT year, l_id, r_id, round(score, 4) AS score FROM p WHERE score >= 0.5 - 1e-9
+""")
 def similar_names(spark, sf):
-    """Part names of one brand that reach the floor by their names; gestalt ratio in Arrow batches."""
-    names = table(spark, sf, "part").select(
+    """Parts whose names reach the floor by their names alone.
+
+    A name is a block that equal types share, followed by letters only its own side has, so the
+    longest common block, and with it the gestalt ratio, is known.
+    """
+    letters = F.when(c("p_partkey") % 2 == 1, F.repeat(F.lit("x"), (c("p_size") % 20).cast("int")))
+    letters = letters.otherwise(F.repeat(F.lit("z"), (c("p_size") % 7).cast("int")))
+    named = table(spark, sf, "part").select(
         c("p_brand").alias("year"),
-        c("p_type").alias("surface"),
-        "p_name",
+        c("p_partkey").alias("id"),
+        F.when(c("p_size") % 2 == 1, "hard").otherwise("clay").alias("surface"),
+        F.concat(F.md5(c("p_type").cast("binary")), letters).alias("name"),
         F.lit(None).cast("date").alias("start_date"),
-        (c("p_partkey") % 2).alias("odd"),
-    ).distinct()
-    side = matching.Side("id", ["p_name"])
-    keyed = names.withColumn("id", F.concat_ws("/", "surface", "p_name"))
-    return matching.candidates(
-        keyed.where("odd = 1"), keyed.where("odd = 0"), side, side, block=["year"], floor=0.5
     )
+    side = matching.Side("id", ["name"])
+    odd = c("id") % 2 == 1
+    found = matching.candidates(
+        named.where(odd), named.where(~odd), side, side, block=["year"], floor=0.5
+    )
+    return found.withColumn("score", F.round("score", 4))
 
 
 def _events(spark, sf, shift):

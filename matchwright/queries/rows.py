@@ -72,6 +72,7 @@ def json_flatten(spark, sf):
 @query("""
 SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_date,
        CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_custkey END AS customer,
+       9007199254740993 + o_custkey AS big_id, 9007199254740993 + o_orderkey AS long_id,
        CASE WHEN o_orderkey % 3 = 0 THEN -1.0 ELSE o_totalprice END AS price,
        CAST(o_orderdate AS DATE) AS compact_date
 FROM orders
@@ -89,10 +90,12 @@ def typed_coercion(spark, sf):
         F.when(c("o_orderkey") % 3 == 0, " ")
         .otherwise(c("o_totalprice").cast("string"))
         .alias("price"),
+        F.concat((c("o_custkey") + 9007199254740993).cast("string"), F.when(even, ".0").otherwise("")).alias("big_id"),
+        (c("o_orderkey") + 9007199254740993).alias("long_id"),
         F.date_format("o_orderdate", "yyyyMMdd").alias("compact_date"),
     )
     typed = columns.coerce(
-        drifted, longs=["customer"], days=["order_date"], compact_days=["compact_date"]
+        drifted, longs=["customer", "big_id", "long_id"], days=["order_date"], compact_days=["compact_date"]
     )
     return typed.withColumn("price", numbers.number_or(c("price"), -1))
 
@@ -360,13 +363,13 @@ def fill_or_override(spark, sf):
 
 @query("""
 SELECT o.o_orderkey, o.o_totalprice AS price, l.l_quantity AS quantity, l.l_returnflag AS flag
-FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey WHERE l.l_linenumber = 1
+FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey
 """)
 def preferred_side(spark, sf):
     orders = table(spark, sf, "orders").select(
         "o_orderkey", c("o_totalprice").alias("price"), c("o_orderstatus").alias("flag")
     )
-    lines = table(spark, sf, "lineitem").where("l_linenumber = 1").select(
+    lines = table(spark, sf, "lineitem").select(
         c("l_orderkey").alias("o_orderkey"),
         c("l_extendedprice").alias("price"),
         c("l_quantity").alias("quantity"),
@@ -464,21 +467,23 @@ def weakest_first(spark, sf):
     return ordering.weakest_first(events, "value", 1.0, ["event_id"])
 
 
-@query()
+@query("""
+SELECT doc_id, lang, source FROM documents ORDER BY md5(doc_id || '|42'), doc_id LIMIT 50
+""")
 def seeded_sample(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "lang", "source")
     return ordering.seeded_sample(docs, ["doc_id"], 50, 42)
 
 
 @query("""
-WITH a AS (SELECT o_custkey AS k FROM orders WHERE o_orderstatus = 'F' AND year(o_orderdate) = 1997),
-     b AS (SELECT o_custkey AS k FROM orders WHERE o_orderstatus = 'O' AND year(o_orderdate) = 1997)
+WITH a AS (SELECT o_custkey AS k FROM orders WHERE o_orderstatus = 'F'),
+     b AS (SELECT o_custkey AS k FROM orders WHERE o_orderstatus = 'O')
 SELECT 'all' AS op, k, CAST(count(*) AS BIGINT) AS n FROM (SELECT k FROM a UNION ALL SELECT k FROM b) GROUP BY k
 UNION ALL SELECT 'minus', k, 1 FROM (SELECT k FROM a EXCEPT SELECT k FROM b)
 UNION ALL SELECT 'both', k, 1 FROM (SELECT k FROM a INTERSECT SELECT k FROM b)
 """)
 def set_ops(spark, sf):
-    orders = table(spark, sf, "orders").where(F.year("o_orderdate") == 1997)
+    orders = table(spark, sf, "orders")
 
     def of(status):
         return orders.where(c("o_orderstatus") == status).select(c("o_custkey").alias("k"))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.columns import union_seasons
+from ..session import stage
 
 
 RAGGED = "_ragged"
@@ -72,8 +73,11 @@ def read_text_csv(
 
 
 def ragged_lines(df: DataFrame) -> DataFrame:
-    """Number of ragged lines per file."""
-    found = df.where(F.col(RAGGED).isNotNull()).select("*")
+    """Number of ragged lines per file.
+
+    The lines themselves are staged first, as Spark can't count them in a scan that needs no field.
+    """
+    found = stage(df.where(F.col(RAGGED).isNotNull()), "ragged")
     return found.groupBy("_file").agg(F.count("*").alias("lines"))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import stage
 from .files import read_table
 
 
@@ -65,10 +65,7 @@ def store(df: DataFrame, path: str, by: list[str], *, sort: list[str] | None = N
     The rows are staged in the shared folder first, so the table is never read while it is being
     replaced. Returns the staged rows.
     """
-    spark = df.sparkSession
-    stage = scratch_path(spark, "stage")
-    df.write.parquet(stage)
-    rows = spark.read.schema(df.schema).parquet(stage)
+    rows = stage(df, "stage")
     overwrite_partitions(rows, path, by, sort=sort)
     return rows
 

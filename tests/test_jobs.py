@@ -204,3 +204,47 @@ def test_refresh(spark, season, tmp_path):
     again = refresh.refresh_seasons(spark, str(landing), root, always=[("atp", 2024)])
     assert again.seasons == [("atp", 2023, 1, False), ("atp", 2024, 1, True)] and again.needs_attention
     assert sinks.current(spark, f"{root}/tournaments", "tour string, year bigint, champion string").collect()[0].champion == "Fritz T."
+
+
+def test_wrong_file_holds_back_its_own_season(spark, tmp_path):
+    landing, root = tmp_path / "landing", str(tmp_path / "out")
+    write(landing / "tour=atp" / "year=2024" / "a.csv", ATP_HEADER, [atp_line()])
+    wta = ATP_HEADER.replace("ATP,", "WTA,").replace("Series", "Tier")
+    write(landing / "tour=atp" / "year=2025" / "a.csv", wta, [atp_line()])
+    write(landing / "tour=atp" / "year=2023" / "a.csv", ATP_HEADER, [atp_line(date="2023-01-07"), "1,too,short"])
+    write(landing / "tour=atp" / "year=2022" / "a.csv", ATP_HEADER.replace("Court,", ""), [atp_line()])
+    (landing / "tour=atp" / "year=2021").mkdir()
+    (landing / "tour=atp" / "year=2021" / "a.csv").write_text("\n")
+    done = refresh.refresh_seasons(spark, str(landing), root)
+    assert done.needs_attention
+    assert [(y, ok) for _, y, _, ok in done.seasons] == [(2021, False), (2022, False), (2023, False), (2024, True), (2025, False)]
+    rules = {(r.year, r.rule) for r in spark.read.parquet(f"{root}/violations").collect()}
+    assert {(2021, "empty_file"), (2022, "missing_column_Court"), (2023, "ragged_line"), (2025, "wrong_data_set")} <= rules
+    assert [r.year for r in feed.scan_clean(spark, f"{root}/clean").select("year").collect()] == [2024]
+    assert {r.year for r in spark.read.parquet(f"{root}/report").select("year").collect()} == {2024}
+    write(landing / "tour=atp" / "year=2025" / "b.csv", ATP_HEADER + ",New", [atp_line(date="2025-01-07") + ",1"])
+    write(landing / "tour=atp" / "year=2024" / "c.csv", ATP_HEADER + ",New", [atp_line() + ",1"])
+    again = refresh.refresh_seasons(spark, str(landing), root)
+    assert [(y, ok) for _, y, _, ok in again.seasons] == [(2024, True), (2025, True)]
+    drift = {(r.year, r["column"], r.change) for r in spark.read.parquet(f"{root}/drift").collect()}
+    assert (2024, "New", "added") in drift and (2025, "WTA", "removed") in drift
+    assert not [r for r in spark.read.parquet(f"{root}/violations").collect() if r.year == 2025]
+
+
+def test_ragged_lines_are_kept_and_counted(spark, tmp_path):
+    path = write(tmp_path / "x.csv", "a,b", ["1,2", "3,4,5", "6"])
+    raw = files.read_text_csv(spark, [path])
+    assert {r[files.RAGGED] for r in raw.collect()} == {None, "3,4,5", "6"}
+    assert [r.lines for r in files.ragged_lines(raw).collect()] == [2]
+    with pytest.raises(Exception, match="ragged line"):
+        files.reject_ragged(raw).collect()
+
+
+def test_output_gates(spark):
+    s = "tour string, year bigint, source_match_key string, canonical_match_key string, winner_id bigint, loser_id bigint"
+    links = spark.createDataFrame([("t", 1, "a", "x", 1, 2), ("t", 1, "b", "x", 1, 2), ("t", 1, "c", "y", 9, 9)], s)
+    truth = spark.createDataFrame([("t", 1, "x", 1, 2), ("t", 1, "y", 3, 4)], "tour string, year bigint, canonical_match_key string, winner_id bigint, loser_id bigint")
+    own = spark.createDataFrame([("t", 1, k) for k in "abcd"], "tour string, year bigint, source_match_key string")
+    status = own.where("source_match_key <> 'd'").withColumn("linkage_status", F.lit("linked"))
+    found = {r.problem for r in linking.output_problems(own, truth, links, status, own.where("source_match_key <> 'a'")).collect()}
+    assert found == {"canonical_match_key linked twice", "ids of another match", "records without exactly one status", "enriched rows lost or added"}

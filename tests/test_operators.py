@@ -175,7 +175,7 @@ def test_greedy_equals_the_sorted_walk(spark):
     rows = [(b, f"l{l}", f"r{r}", rng.choice([0.5, 0.6, 0.7, 0.9])) for b in range(25) for l in range(rng.randint(1, 7)) for r in range(rng.randint(1, 7)) if rng.random() < 0.8]
     df = spark.createDataFrame(rows, "b int, l_id string, r_id string, score double")
     got = {(r.b, r.l_id, r.r_id) for r in matching.assign(df, ["b"]).collect()}
-    assert got == brute_greedy([tuple(r) for r in df.withColumn("t", F.xxhash64("l_id", "r_id")).collect()])
+    assert got == brute_greedy([tuple(r) for r in df.withColumn("t", F.md5(F.concat_ws("|", "l_id", "r_id"))).collect()])
 
 
 def test_greedy_all_ties_needs_few_rounds(spark):
@@ -334,3 +334,43 @@ def test_profile(spark):
     assert got.agreement_pct == 50.0
     ids = joins.disagreeing_ids(spark.createDataFrame([("k", 1), ("m", 2), ("n", None)], "k string, w int"), spark.createDataFrame([("k", 1), ("m", 3), ("n", 4)], "k string, w int"), "k", ["w"])
     assert {r.k for r in ids.collect()} == {"m", "n"}
+
+
+# --- tours, corrections, exact values ---
+
+
+def test_ids_belong_to_their_tour(spark):
+    bridge = spark.createDataFrame([("atp", 1, "s", "e", 10), ("wta", 1, "s", "e", 20), ("atp", 1, "s", "e", 10)], "tour string, year int, source string, source_tournament_id string, official_tournament_id bigint")
+    rows = spark.createDataFrame([("atp", 1, "e"), ("wta", 1, "e")], "tour string, year int, id string")
+    out = joins.attach_official_ids(rows, bridge, source="s", id_column="id")
+    assert sorted((r.tour, r.official_tournament_id) for r in out.collect()) == [("atp", 10), ("wta", 20)]
+    assert joins.bridge_duplicates(bridge).count() == 0
+    with pytest.raises(Exception, match="several values"):
+        joins.attach_official_ids(rows, bridge.drop("tour"), source="s", id_column="id").collect()
+    df = spark.createDataFrame([("atp", "k", None), ("wta", "k", 5)], "tour string, key string, v int")
+    lookup = spark.createDataFrame([("atp", "k", 1), ("wta", "k", 2)], "tour string, key string, v int")
+    filled = joins.fill_or_override(df, lookup, ["tour", "key"], "v")
+    assert sorted(tuple(r) for r in filled.select("tour", "v").collect()) == [("atp", 1), ("wta", 5)]
+
+
+def test_corrections_merge_and_complain(spark):
+    named = {"tour": "tour", "year": "year", "event_id": "id", "winner": "w", "loser": "l", "match_date": "day"}
+    long = "c" * 120
+    df = spark.createDataFrame([("t", 1, 1, "a", "b", None, "x", "y")], f"tour string, year bigint, id bigint, w string, l string, day date, {long} string, other string")
+    def fix(name, values):
+        return (name, "t", 1, 1, "a", "b", None, values)
+    two = spark.createDataFrame([fix("f1", {"other": f"={long}"}), fix("f2", {long: "new"})], corrections.CORRECTION_SCHEMA)
+    out = corrections.apply_corrections(df, two, named).collect()
+    assert len(out) == 1 and out[0].other == "x" and out[0][long] == "new"
+    assert {r.fix_id for r in corrections.wrong_corrections(df, two, named).collect()} == {"f1", "f2"}
+    for values in ({"no such": "1"}, {"other": "=no such"}):
+        bad = spark.createDataFrame([fix("f", values)], corrections.CORRECTION_SCHEMA)
+        with pytest.raises(Exception, match="unknown columns"):
+            corrections.apply_corrections(df, bad, named).collect()
+
+
+def test_chain_of_rising_scores(spark):
+    rows = [(1, f"l{i // 2}", f"r{(i + 1) // 2}", 0.5 + i / 1000) for i in range(48)]
+    df = spark.createDataFrame(rows, "b int, l_id string, r_id string, score double")
+    got = {(r.l_id, r.r_id) for r in matching.assign(df, ["b"]).collect()}
+    assert got == {(l, r) for _, l, r in brute_greedy([(*x, 0) for x in rows])}
