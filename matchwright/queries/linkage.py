@@ -416,9 +416,9 @@ def greedy_match(spark, sf):
 
 
 @query("""
-WITH n AS (SELECT p_brand, p_partkey, p_size % 2 AS s, p_type AS t, p_size % 20 AS k, p_size % 7 AS m FROM part),
+WITH n AS (SELECT p_brand, p_partkey, p_size % 2 AS s, p_type AS t, p_size % 8 AS k, p_size % 7 AS m FROM part),
 p AS (SELECT a.p_brand AS year, a.p_partkey AS l_id, b.p_partkey AS r_id,
-    0.5 * 64 / (64 + a.k + b.m) + CASE WHEN a.s = b.s THEN 0.1 ELSE 0 END AS score
+    0.5 * 24 / (24 + a.k + b.m) + CASE WHEN a.s = b.s THEN 0.1 ELSE 0 END AS score
   FROM n a JOIN n b ON a.p_brand = b.p_brand AND a.t = b.t AND a.p_partkey % 2 = 1 AND b.p_partkey % 2 = 0)
 SELECT year, l_id, r_id, round(score, 4) AS score FROM p WHERE score >= 0.5 - 1e-9
 """)
@@ -428,13 +428,13 @@ def similar_names(spark, sf):
     A name is a block that equal types share, followed by letters only its own side has, so the
     longest common block, and with it the gestalt ratio, is known.
     """
-    letters = F.when(c("p_partkey") % 2 == 1, F.repeat(F.lit("x"), (c("p_size") % 20).cast("int")))
+    letters = F.when(c("p_partkey") % 2 == 1, F.repeat(F.lit("x"), (c("p_size") % 8).cast("int")))
     letters = letters.otherwise(F.repeat(F.lit("z"), (c("p_size") % 7).cast("int")))
     named = table(spark, sf, "part").select(
         c("p_brand").alias("year"),
         c("p_partkey").alias("id"),
         F.when(c("p_size") % 2 == 1, "hard").otherwise("clay").alias("surface"),
-        F.concat(F.md5(c("p_type").cast("binary")), letters).alias("name"),
+        F.concat(F.left(F.md5(c("p_type").cast("binary")), F.lit(12)), letters).alias("name"),
         F.lit(None).cast("date").alias("start_date"),
     )
     side = matching.Side("id", ["name"])
