@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from ..contracts import archive as archive_contract
 from ..operators import columns, linking
-from ..plans import cleaning, curated, mapping
+from ..plans import cleaning, curated, mapping, tournaments
 from ..plans import linking as linking_job_plan
-from ..session import scratch_path
-from ..sources import archive, catalog, files, sinks
+from ..session import scratch_path, stage
+from ..sources import archive, catalog, feed, files, sinks
 from ..streaming.refresh import refresh_rollup
 from . import linkage
 from .registry import query, table
@@ -146,8 +146,8 @@ z AS (SELECT *, event || '_' || strftime(d, '%Y-%m-%d') || '_' || round || '_p'
 """
 
 
-def _raw_feed(spark, sf):
-    """Line items under the raw names of the feed."""
+def _raw_feed(spark, sf, sets=None):
+    """Line items under the raw names of the feed; ``sets`` are the sets that the winner won."""
     labels = ["1st Round", "2nd Round", "3rd Round", "4th Round", "5th Round"]
     labels += ["Quarterfinals", "The Final"]
     label = F.array(*[F.lit(x) for x in labels])
@@ -169,7 +169,7 @@ def _raw_feed(spark, sf):
         F.concat(F.lit("Q"), c("l_orderkey") % 100, F.lit(" B.")).alias("Loser"),
         F.lit(6).cast("bigint").alias("W1"),
         F.lit(2).cast("bigint").alias("L1"),
-        F.lit(2).cast("bigint").alias("Wsets"),
+        (F.lit(2).cast("bigint") if sets is None else sets).alias("Wsets"),
         F.when(q > 48, 2).otherwise(0).cast("bigint").alias("Lsets"),
         F.when(flag == "R", "Retired").when(flag == "A", "Completed").otherwise("Odd").alias("Comment"),
         (c("l_discount") * 20 + 0.5).alias("B365W"),
@@ -372,6 +372,101 @@ def export_rerun(spark, sf):
     return back.agg(F.count("*").alias("n"), F.sum("match_num").alias("keys"))
 
 
+@query("""
+SELECT 'x' AS tour, CAST(year(l_shipdate) AS BIGINT) AS year, 'rows' AS metric,
+  CAST(CASE WHEN min(year(l_shipdate)) = 1997 THEN -1 ELSE count(*) END AS DOUBLE) AS value FROM lineitem GROUP BY 2
+UNION ALL
+SELECT 'x', year(l_shipdate), 'returned', CAST(count(*) FILTER (l_returnflag = 'R') AS DOUBLE) FROM lineitem
+WHERE year(l_shipdate) <> 1997 GROUP BY 2
+""")
+def report_update(spark, sf):
+    """The report of all seasons, then one season again with fewer metrics."""
+    root = scratch_path(spark, "report")
+    by_year = table(spark, sf, "lineitem").groupBy(F.year("l_shipdate").alias("year")).agg(
+        F.count("*").cast("double").alias("rows"),
+        F.count_if(c("l_returnflag") == "R").cast("double").alias("returned"),
+    )
+    long = by_year.withColumn("tour", F.lit("x")).unpivot(["tour", "year"], ["rows", "returned"], "metric", "value")
+    cleaning.update_report(long, root)
+    again = long.where("year = 1997 and metric = 'rows'").withColumn("value", F.lit(-1.0))
+    return cleaning.update_report(again, root)
+
+
+@query("""
+SELECT 'x' AS tour, CAST(year(l_shipdate) AS BIGINT) AS year, l_suppkey AS event,
+  CAST(count(*) + CASE WHEN min(year(l_shipdate)) = 1997 AND l_suppkey % 2 = 0 THEN 1000 ELSE 0 END AS BIGINT) AS matches
+FROM lineitem GROUP BY 2, 3
+""")
+def tournaments_update(spark, sf):
+    """A keyed table stored season by season; rebuilt rows win, other rows of the season stay."""
+    root = scratch_path(spark, "tournaments")
+    rows = table(spark, sf, "lineitem").groupBy(
+        F.year("l_shipdate").cast("bigint").alias("year"), c("l_suppkey").alias("event")
+    )
+    rows = rows.agg(F.count("*").alias("matches")).select(F.lit("x").alias("tour"), "year", "event", "matches")
+    tournaments.update_tournaments(rows, root, ["tour", "year", "event"])
+    rebuilt = rows.where("year = 1997 and event % 2 = 0").withColumn("matches", c("matches") + 1000)
+    return tournaments.update_tournaments(rebuilt, root, ["tour", "year", "event"])
+
+
+@query("""
+SELECT c_custkey AS player_id, c_name AS name_last, CAST(150 + c_nationkey AS BIGINT) AS height,
+  CAST(CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE '1990-05-01' END AS DATE) AS dob FROM customer
+""")
+def people_scan(spark, sf):
+    """Biographies with declared types, whatever the order of the columns."""
+    root = scratch_path(spark, "people")
+    rows = table(spark, sf, "customer").select(
+        (c("c_nationkey") + 150).alias("height"),
+        F.when(c("c_custkey") % 3 == 0, "").otherwise("19900501").alias("dob"),
+        c("c_name").alias("name_last"),
+        c("c_custkey").alias("player_id"),
+    )
+    path = f"{root}/{archive_contract.PEOPLE_FILE.format(tour='atp')}"
+    rows.write.option("header", True).csv(path)
+    return archive.scan_people(spark, root, "atp").select("player_id", "name_last", "height", "dob")
+
+
+@query("""
+SELECT CAST(year(l_shipdate) AS BIGINT) AS "Year", CAST(l_suppkey AS BIGINT) AS "ATP", 'City ' || l_suppkey AS "Location",
+  CAST(l_shipdate AS DATE) AS "Date", CAST(l_linenumber AS BIGINT) AS "Wsets", round(l_discount * 20 + 0.5, 4) AS "B365W"
+FROM lineitem
+""")
+def feed_scan(spark, sf):
+    """Season files with two different headers, one scan per header, typed and tagged."""
+    root = scratch_path(spark, "feed")
+    raw = _raw_feed(spark, sf, F.concat(c("l_linenumber"), F.lit(".0")))
+    raw = raw.withColumns({"Location": F.concat(c("Location"), F.lit(" ")), "B365W": F.round("B365W", 4)})
+    seasons = [r[0] for r in raw.select("Year").distinct().collect()]
+    drops = {}
+    for parity in (0, 1):
+        header = [x for x in raw.columns if x not in ("tour", "Year")]
+        part = raw.where(c("Year") % 2 == parity).withColumn("season", c("Year"))
+        path = f"{root}/{parity}"
+        part.select("season", *(header if parity else header[::-1])).write.partitionBy("season").option("header", True).csv(path)
+        drops |= {("atp", y): f"{path}/season={y}" for y in seasons if y % 2 == parity}
+    out = feed.scan_raw(spark, drops)
+    return out.select("Year", "ATP", "Location", "Date", "Wsets", F.round("B365W", 4).alias("B365W"))
+
+
+@query(linkage._BASE + """
+, m AS (SELECT uk FROM (SELECT uk, row_number() OVER (PARTITION BY year ORDER BY uk) AS r FROM a1) WHERE r = 1)
+SELECT source_match_key, year, linkage_status,
+  CASE WHEN source_match_key IN (SELECT uk FROM m) THEN 'manual_override' ELSE match_method END AS match_method
+FROM st
+""")
+def linked_with_manual(spark, sf):
+    """All passes, with the first rank link of every year given by hand."""
+    feed_side, other = linkage.both_sides(spark, sf)
+    links = linking.rank_links(linking.rank_blocks(feed_side, other))
+    first = links.groupBy("year").agg(F.min("source_match_key").alias("source_match_key"))
+    manual = links.join(first, ["year", "source_match_key"], "left_semi").select(
+        "tour", "year", "source_match_key", "canonical_match_key"
+    )
+    out = linking.link(feed_side, other, stage(manual, "manual"))
+    return out.status.select("source_match_key", "year", "linkage_status", "match_method")
+
+
 @query(linkage._BASE + """
 SELECT kk AS canonical_match_key, CAST(k.wr AS BIGINT) AS winner_rank, k.rnd AS round, 'tournament_rank_unique' AS match_method,
   CAST(6 AS BIGINT) AS set1_winner, CAST(k.lr % 5 AS BIGINT) AS set1_loser, round(u.wp, 2) AS odds_avg_winner,
