@@ -83,12 +83,13 @@ def under_mask(
     out = []
     for begin, end in spans:
         own = slice(np.searchsorted(ends, begin, "right"), np.searchsorted(starts, end, "left"))
-        held = [(max(a, begin), min(b, end)) for a, b, m in zip(starts[own], ends[own], mask[own], strict=True) if m]
-        text, at = [], begin
-        for a, b in held:
-            text.append(formatted[max(a, at) : b])
-            at = max(at, b)
-        out.append(unescape("".join(text)))
+        held = mask[own]
+        a, b = np.maximum(starts[own][held], begin), np.minimum(ends[own][held], end)
+        # Runs of tokens that touch or share a character are one piece of text.
+        reach = np.maximum.accumulate(b)
+        new = np.flatnonzero(np.r_[True, a[1:] > reach[:-1]]) if len(a) else np.zeros(0, np.int64)
+        last = np.r_[new[1:], len(a)] - 1 if len(a) else new
+        out.append(unescape("".join(formatted[x:y] for x, y in zip(a[new], reach[last], strict=True))))
     return out
 
 
@@ -145,8 +146,7 @@ def digests(chats: DataFrame) -> DataFrame:
             for i in range(batch.num_rows):
                 formatted = column(batch, "formatted")[i].as_py()
                 starts, ends, loss = (
-                    np.asarray(column(batch, x)[i].values) if x != "loss" else np.array(column(batch, x)[i].as_py(), bool)
-                    for x in ("starts", "ends", "loss")
+                    column(batch, x)[i].values.to_numpy(zero_copy_only=False) for x in ("starts", "ends", "loss")
                 )
                 spans = [m.span(2) for m in TURN.finditer(formatted) if unescape(m[1]) == LEARNT]
                 turns = parse(formatted)
