@@ -10,7 +10,7 @@ from __future__ import annotations
 import json
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -80,10 +80,8 @@ class Codec:
         self.bytes_of = {i: bytes(letters[x] for x in token) for token, i in model["vocab"].items()}
         self.id_of = {b: i for i, b in self.bytes_of.items()}
         by_name = model["vocab"]
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
-        for rank, pair in enumerate(model["merges"]):
-            left, right = pair if isinstance(pair, list) else pair.split(" ")
-            self.merges.setdefault((by_name[left], by_name[right]), (rank, by_name[left + right]))
+        pairs = [x if isinstance(x, list) else x.split(" ") for x in model["merges"]]
+        self.pairs = [(by_name[left], by_name[right], by_name[left + right]) for left, right in pairs]
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
         if any(x["lstrip"] or x["rstrip"] or x["single_word"] or x["normalized"] for x in spec["added_tokens"]):
             raise ValueError("plain added tokens are needed")
@@ -92,19 +90,29 @@ class Codec:
         self.bytes_of |= {i: x.encode() for x, i in self.special.items()}
         self.spines: dict[int, tuple[list, list] | None] = {}
         self.fits: dict[int, bool] = {}
-        self.tails: dict = {}  # trie of the reversed tokens, the token at END
-        for token, i in self.id_of.items():
-            if self.spine(i):
-                node = self.tails
-                for byte in reversed(token):
-                    node = node.setdefault(byte, {})
-                node[END] = i
         size = max(self.bytes_of) + 1
         self.token_size = np.array([len(self.bytes_of.get(i, b"")) for i in range(size)], np.int64)
         self.token_start = np.cumsum(self.token_size) - self.token_size
         self.token_bytes = np.frombuffer(b"".join(self.bytes_of.get(i, b"") for i in range(size)), np.uint8)
         self.forget()
 
+    @cached_property
+    def merges(self) -> dict[tuple[int, int], tuple[int, int]]:
+        """Rank and result of every merge; of a pair that is listed twice the first counts."""
+        return {(a, b): (rank, c) for rank, (a, b, c) in reversed(list(enumerate(self.pairs)))}
+
+    @cached_property
+    def tails(self) -> dict:
+        """Trie of the reversed tokens that encode to themselves, the token at END."""
+        out: dict = {}
+        for token, i in self.id_of.items():
+            if self.spine(i):
+                node = out
+                for byte in reversed(token):
+                    node = node.setdefault(byte, {})
+                node[END] = i
+        return out
+
     def forget(self) -> None:
         """Start the table of known segments anew: entry 0 is the line break."""
         self.known: dict[str, int] = {}
