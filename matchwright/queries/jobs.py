@@ -339,7 +339,8 @@ def linking_rerun(spark, sf):
 
     def stored(name, out):
         rows = spark.read.parquet(f"{root}/{name}")
-        return rows.groupBy("year").agg(F.count("*").alias(out))
+        # The ambiguous table has a row for each pass that found candidates of a record.
+        return rows.groupBy("year").agg(F.count_distinct("source_match_key").alias(out))
 
     seasons = summary.select("year")
     for name, out in (("match_links", "linked"), ("ambiguous", "ambiguous"), ("unmatched", "unmatched")):
