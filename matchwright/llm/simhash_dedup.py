@@ -17,10 +17,12 @@ from pyspark.sql import functions as F
 
 from .common import slices, staged, texts
 from .components import connected_components
+from .line_dedup import FEW, band_keys, in_buckets
 
 SEED = 42
 SHINGLE = 3
 STEP = 1 << 16
+BANDS = 8
 
 
 def fingerprint(text: str | None, words: int = SHINGLE) -> int:
@@ -50,12 +52,12 @@ def fingerprint(text: str | None, words: int = SHINGLE) -> int:
     return value
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = SHINGLE) -> DataFrame:
     """(doc_id, fp long): the fingerprint's 64 bits as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            values = np.array([fingerprint(x) for x in texts(batch)], dtype=np.uint64).view(np.int64)
+            values = np.array([fingerprint(x, words) for x in texts(batch)], dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values)], names=["doc_id", "fp"])
 
     source = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
@@ -104,7 +106,9 @@ def links(prints: DataFrame, distance: int = 2) -> DataFrame:
     return met.distinct().where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance)
 
 
-def near_duplicates(docs: DataFrame, distance: int = 2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, distance: int = 2, doc_id: str = "doc_id", text: str = "text", words: int = SHINGLE
+) -> DataFrame:
     """(doc_id, fp long, component_id): one row per input row.
 
     component_id is the least doc_id that links reach. Copies share a fingerprint and are one node
@@ -112,7 +116,7 @@ def near_duplicates(docs: DataFrame, distance: int = 2, doc_id: str = "doc_id",
     a null doc_id are kept; a group of nothing but null ids has a null component. Repeated ids are
     separate rows. Other columns are ignored.
     """
-    prints = staged(fingerprints(docs, doc_id, text), "fingerprints")
+    prints = staged(fingerprints(docs, doc_id, text, words), "fingerprints")
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
     roots = connected_components(links(distinct.select("fp"), distance))
     labelled = distinct.join(roots, distinct.fp == roots.node, "left").select(
@@ -129,13 +133,95 @@ def near_duplicate_rows(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_representatives(docs: DataFrame, distance: int = 2) -> DataFrame:
+def shingle_set(text: str | None, words: int) -> np.ndarray:
+    """Sorted hashes of the different word shingles of a text, words as in ``fingerprint``."""
+    parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    digest = xxhash.xxh64_intdigest
+    n = max(1, len(parts) - words + 1) if parts else 0
+    return np.unique(np.array([digest(b" ".join(parts[i : i + words]), SEED) for i in range(n)], dtype=np.uint64))
+
+
+def near_copies(docs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """(doc_id, component_id): one row per input row; linked are texts of that Jaccard over word shingles.
+
+    Texts that agree on two minima of one of BANDS bands meet; buckets of more than FEW are split by
+    further minima of the band, and what then is left of more than FEW is compared with the
+    bucket's least member and the next ones in the orders of two hashes. Pairs that meet are verified by the
+    exact coefficient. Texts of equal shingles are one node, blank and null ones too.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 64):
+            sets = [shingle_set(x, words) for x in texts(batch)]
+            node = [xxhash.xxh3_64_intdigest(x.tobytes()) for x in sets]
+            keys = np.zeros((len(sets), BANDS), dtype=np.int64)
+            full = np.array([len(x) > 0 for x in sets], dtype=bool)
+            if full.any():
+                sizes = np.array([len(x) for x in sets])[full]
+                keys[full] = band_keys(np.concatenate(sets), np.cumsum(sizes) - sizes, BANDS, 3).view(np.int64)
+            lists = [k.tolist() if f else [] for k, f in zip(keys, full, strict=True)]
+            marks = [batch.column(0), batch.column(1), pa.array(np.array(node, dtype=np.uint64).view(np.int64))]
+            yield pa.RecordBatch.from_arrays(
+                [*marks, pa.array(lists, pa.list_(pa.int64()))], names=["doc_id", "text_hash", "id", "keys"]
+            )
+
+    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 64):
+            lists = [shingle_set(x, words).view(np.int64).tolist() for x in texts(batch)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(lists, pa.list_(pa.int64()))], names=["id", "shingles"]
+            )
+
+    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    prints = staged(source.mapInArrow(run, "doc_id bigint, text_hash bigint, id bigint, keys array<bigint>"), "shingles")
+    nodes = prints.groupBy("id").agg(
+        F.min(F.struct("doc_id", "text_hash")).alias("place"), F.first("keys").alias("keys")
+    )
+    nodes = staged(nodes.select("id", "place.*", "keys"), "shingle-nodes")
+    met = staged(in_buckets(nodes.select("id", F.explode("keys").alias("bits"))).select("key", "id", "size"), "shingle-buckets")
+    few, many = met.where(F.col("size") <= FEW), met.where(F.col("size") > FEW)
+    pairs = [few.join(few.select("key", F.col("id").alias("other")), "key").select("id", "other")]
+    pairs.append(many.select("id", F.min("id").over(Window.partitionBy("key")).alias("other")))
+    for order in (F.col("id"), F.xxhash64("id")):
+        by = Window.partitionBy("key").orderBy(order)
+        pairs += [many.select("id", F.lag("id", step).over(by).alias("other")) for step in (1, 2)]
+    every = pairs[0]
+    for more in pairs[1:]:
+        every = every.unionByName(more)
+    every = every.where("id <> other").select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
+    every = staged(every.distinct(), "shingle-pairs")
+    wanted = every.select(F.col("a").alias("id")).unionByName(every.select(F.col("b").alias("id"))).distinct()
+    places = nodes.join(wanted, "id").select("id", "doc_id", "text_hash")
+    held = source.join(places, ["doc_id", "text_hash"]).select("id", "text").mapInArrow(
+        sets_of, "id bigint, shingles array<bigint>"
+    )
+    held = staged(held.dropDuplicates(["id"]), "shingle-sets")
+    both = every.join(held.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(
+        held.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b"
+    )
+    both = both.withColumn("common", F.size(F.array_intersect("x", "y")))
+    reached = F.col("common") >= similarity * (F.size("x") + F.size("y") - F.col("common")) - 1e-9
+    roots = connected_components(both.where(reached).select("a", "b"))
+    labelled = nodes.join(roots, nodes.id == roots.node, "left").select("id", "doc_id", F.coalesce("root", "id").alias("root"))
+    least = labelled.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    classes = labelled.join(least, "root").select("id", "component_id")
+    return prints.join(classes, "id").select("doc_id", "component_id")
+
+
+def keep_representatives(
+    docs: DataFrame, distance: int = 2, words: int = SHINGLE, similarity: float | None = None
+) -> DataFrame:
     """One document of each group: the one with the least doc_id; columns unchanged.
 
+    Groups are those of ``near_copies`` if a similarity is given, else of ``near_duplicates``.
     Where that id is repeated, rows of equal text stay once and other texts stay too. Rows without
     an id can't stand for a group and are kept.
     """
-    groups = near_duplicates(docs.where("doc_id is not null"), distance)
+    own = docs.where("doc_id is not null")
+    if similarity is None:
+        groups = near_duplicates(own, distance, words=words)
+    else:
+        groups = near_copies(own, words, similarity)
     counted = groups.groupBy("doc_id").agg(
         F.count("*").alias("rows of it"), F.max(F.col("doc_id") == F.col("component_id")).alias("stands")
     )
