@@ -55,7 +55,7 @@ def op8_bpe_codec(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    groups = line_dedup.line_groups(read(spark, sf, "documents"))
+    groups = line_dedup.line_groups(read(spark, sf, "documents"), short_lines=True)
     return groups.select("doc_id", "line", "first_doc", "first_line", "kept")
 
 
