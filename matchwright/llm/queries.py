@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, language_id, licenses, line_dedup, packing, quality, simhash_dedup, topk_search, vector_dedup
+from . import bpe, chat, language_id, licenses, line_dedup, packing, quality, simhash_dedup, topk_search, url_filter, vector_dedup
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,19 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_of(read(spark, sf, "documents"), read(spark, sf, "labels"))
 
 
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+def op13_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return url_filter.judge(read(spark, sf, "pages"), spark.createDataFrame(URL_RULES, url_filter.RULES))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -76,6 +89,7 @@ QUERIES: dict[str, Query] = {
         op8_bpe_codec,
         op9_line_dedup,
         op10_quality,
+        op13_url_filter,
     )
 }
 
@@ -163,9 +177,27 @@ FROM (SELECT DISTINCT doc_id FROM documents) x LEFT JOIN best ON x.doc_id = best
 """
 
 
+def _url_sql() -> str:
+    rows = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in URL_RULES)
+    return rf"""
+WITH r(rule_host, rule_path, rule_verdict) AS (VALUES {rows}),
+p AS (
+  SELECT page_id, row_number() OVER () AS row,
+    translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages)
+SELECT page_id, host, path,
+  arg_max(rule_host || rule_path, 1000 * length(rule_host || rule_path) + length(rule_host)) AS rule,
+  coalesce(arg_max(rule_verdict, 1000 * length(rule_host || rule_path) + length(rule_host)), 'allow') AS verdict
+FROM p LEFT JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+GROUP BY row, page_id, host, path
+"""
+
+
 SQL: dict[str, str] = {
     "op2_topk_search": _TOPK,
     "op4_vector_dedup": _NEAR,
     "op5_license_scan": _license_sql(),
     "op6_chat_format": _CHAT,
+    "op13_url_filter": _url_sql(),
 }
