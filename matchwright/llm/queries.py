@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, language_id, licenses, line_dedup, packing, quality, simhash_dedup, topk_search, url_filter, vector_dedup
+from . import bpe, chat, conversation_trie, language_id, licenses, line_dedup, packing, quality, simhash_dedup, topk_search, url_filter, vector_dedup
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,10 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_of(read(spark, sf, "documents"), read(spark, sf, "labels"))
 
 
+def op12_conversation_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return conversation_trie.trie(read(spark, sf, "conversations"))
+
+
 URL_RULES = [
     ("org", "/", "allow"),
     ("example.org", "/es/", "block"),
@@ -89,6 +93,7 @@ QUERIES: dict[str, Query] = {
         op8_bpe_codec,
         op9_line_dedup,
         op10_quality,
+        op12_conversation_trie,
         op13_url_filter,
     )
 }
@@ -177,6 +182,46 @@ FROM (SELECT DISTINCT doc_id FROM documents) x LEFT JOIN best ON x.doc_id = best
 """
 
 
+_TRIE = """
+WITH tab AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_concat([i], range(8)),
+      lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS v FROM range(256) r(i))),
+t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS d
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base, xor(list_reduce(
+    list_concat([4294967295], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))),
+    lambda a, x: xor(a // 256, tab.t[xor(a, x) % 256 + 1])), 4294967295) % 9 AS h, own
+  FROM (SELECT conv_id, count(*) AS own FROM t GROUP BY conv_id), tab),
+b AS (SELECT c.*, least(c.h, coalesce(o.own, 0)) AS taken FROM c LEFT JOIN c o ON o.conv_id = c.base),
+r AS (
+  SELECT b.conv_id, d, role, text FROM b JOIN t ON t.conv_id = b.base AND t.d <= b.h
+  UNION ALL
+  SELECT b.conv_id, d - h + taken, role, text FROM b JOIN t ON t.conv_id = b.conv_id AND t.d > b.h),
+m AS (
+  SELECT conv_id, d, strlen(text) AS size,
+    md5(string_agg(md5(role) || md5(text), '') OVER (PARTITION BY conv_id ORDER BY d)) AS key FROM r
+  UNION ALL SELECT conv_id, 0, 0, 'root' FROM c),
+l AS (SELECT conv_id, max(d) AS n FROM m GROUP BY conv_id),
+node AS (
+  SELECT d, key, min(m.conv_id) AS rep, count(*) AS n_convs, max(size) AS size, count(*) FILTER (l.n = m.d) AS n_ends,
+    sha256(coalesce(string_agg(CAST(m.conv_id AS VARCHAR), ',' ORDER BY m.conv_id) FILTER (l.n = m.d), '')) AS ends_sha256
+  FROM m JOIN l USING (conv_id) GROUP BY d, key),
+under AS (
+  SELECT a.d, a.key, sum((x.n_convs - 1) * x.size) AS saved, count(*) FILTER (x.n_convs = x.n_ends) AS n_leaves,
+    count(*) FILTER (x.d = a.d + 1) AS n_children
+  FROM node x JOIN m a ON a.conv_id = x.rep AND a.d <= x.d GROUP BY a.d, a.key)
+SELECT node.rep AS conv_id, CAST(node.d AS BIGINT) AS depth, p.rep AS parent_conv_id, n_convs, n_children, n_leaves,
+  CAST(saved AS BIGINT) AS saved_tokens, ends_sha256
+FROM node JOIN under USING (d, key)
+LEFT JOIN m a ON a.conv_id = node.rep AND a.d = node.d - 1
+LEFT JOIN node p ON p.d = a.d AND p.key = a.key
+"""
+
+
 def _url_sql() -> str:
     rows = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in URL_RULES)
     return rf"""
@@ -199,5 +244,6 @@ SQL: dict[str, str] = {
     "op4_vector_dedup": _NEAR,
     "op5_license_scan": _license_sql(),
     "op6_chat_format": _CHAT,
+    "op12_conversation_trie": _TRIE,
     "op13_url_filter": _url_sql(),
 }
