@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, conversation_trie, language_id, licenses, line_dedup, packing, quality, simhash_dedup, topk_search, url_filter, vector_dedup
+from . import (
+    bpe,
+    chat,
+    conversation_trie,
+    language_id,
+    lexical_search,
+    licenses,
+    line_dedup,
+    packing,
+    quality,
+    simhash_dedup,
+    topk_search,
+    url_filter,
+    vector_dedup,
+)
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +77,10 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_of(read(spark, sf, "documents"), read(spark, sf, "labels"))
 
 
+def op11_lexical_search(spark: SparkSession, sf: str) -> DataFrame:
+    return lexical_search.ranked(read(spark, sf, "documents"), read(spark, sf, "benchmark"), k=10)
+
+
 def op12_conversation_trie(spark: SparkSession, sf: str) -> DataFrame:
     return conversation_trie.trie(read(spark, sf, "conversations"))
 
@@ -93,6 +111,7 @@ QUERIES: dict[str, Query] = {
         op8_bpe_codec,
         op9_line_dedup,
         op10_quality,
+        op11_lexical_search,
         op12_conversation_trie,
         op13_url_filter,
     )
@@ -182,6 +201,30 @@ FROM (SELECT DISTINCT doc_id FROM documents) x LEFT JOIN best ON x.doc_id = best
 """
 
 
+_SEARCH = rf"""
+WITH t AS (
+  SELECT doc_id, row, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{lexical_search.TERM}')) AS term
+  FROM (SELECT *, row_number() OVER () AS row FROM documents)),
+p AS (SELECT doc_id, row, term, count(*) AS tf FROM t GROUP BY ALL),
+d AS (SELECT row, sum(tf)::BIGINT AS n FROM p GROUP BY row),
+c AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS total FROM d),
+w AS (
+  SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM p GROUP BY term), c),
+q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{lexical_search.TERM}')) AS term
+  FROM benchmark),
+s AS (
+  SELECT item_id, doc_id, row, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // total)))) AS BIGINT) AS score
+  FROM q JOIN w USING (term) JOIN p USING (term) JOIN d USING (row), c
+  WHERE doc_id IS NOT NULL GROUP BY item_id, doc_id, row),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
 _TRIE = """
 WITH tab AS (
   SELECT list(v ORDER BY i) AS t FROM (
@@ -214,8 +257,8 @@ under AS (
   SELECT a.d, a.key, sum((x.n_convs - 1) * x.size) AS saved, count(*) FILTER (x.n_convs = x.n_ends) AS n_leaves,
     count(*) FILTER (x.d = a.d + 1) AS n_children
   FROM node x JOIN m a ON a.conv_id = x.rep AND a.d <= x.d GROUP BY a.d, a.key)
-SELECT node.rep AS conv_id, CAST(node.d AS BIGINT) AS depth, p.rep AS parent_conv_id, n_convs, n_children, n_leaves,
-  CAST(saved AS BIGINT) AS saved_tokens, ends_sha256
+SELECT node.rep AS conv_id, CAST(node.d AS BIGINT) AS depth, p.rep AS parent_conv_id, node.n_convs, n_children, n_leaves,
+  CAST(saved AS BIGINT) AS saved_tokens, node.ends_sha256
 FROM node JOIN under USING (d, key)
 LEFT JOIN m a ON a.conv_id = node.rep AND a.d = node.d - 1
 LEFT JOIN node p ON p.d = a.d AND p.key = a.key
@@ -244,6 +287,7 @@ SQL: dict[str, str] = {
     "op4_vector_dedup": _NEAR,
     "op5_license_scan": _license_sql(),
     "op6_chat_format": _CHAT,
+    "op11_lexical_search": _SEARCH,
     "op12_conversation_trie": _TRIE,
     "op13_url_filter": _url_sql(),
 }
