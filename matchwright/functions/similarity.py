@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
-from difflib import SequenceMatcher
-
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from . import gestalt
+
 
 @F.pandas_udf(DoubleType())
 def sequence_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
-    """Gestalt ratio of two short texts, in Arrow batches. The argument order matters."""
-    return pd.Series(
-        [SequenceMatcher(None, a, b).ratio() for a, b in zip(left, right, strict=True)],
-        dtype="float64",
-    )
+    """Gestalt ratio of two short texts, a batch at once; null if one is null. The order matters."""
+    out = pd.Series(float("nan"), index=left.index, dtype="float64")
+    known = (left.notna() & right.notna()).to_numpy()
+    out[known] = gestalt.ratios(left[known].tolist(), right[known].tolist())
+    return out.astype("Float64")
 
 
 def ratio_bound(left: Column, right: Column) -> Column:

@@ -1,91 +1,173 @@
-"""Fuzzy one-to-one matching of events: scored candidates, greedy assignment, review lists.
+"""One-to-one matching of events: greedy assignment, refilled lists, review lists.
 
-score = 0.5 * name + 0.4 * date + 0.1 * surface, where name is the best gestalt ratio over the
-name variants of both sides, date falls evenly to 0 at ``max_days``, and surface is 1 if equal.
-
-Candidates are found without pairing a block with itself. A pair can reach the floor in two ways
-only: its dates are near (a join on date buckets), or its names alone are alike enough (a join on
-pieces of the names that cannot all be damaged at that ratio). Both are equality joins that lose
-no pair at or above the floor.
+Candidates and their score are in ``candidates``. The choice is that of a walk down all pairs sorted
+by score: a pair is taken if both of its events are still free.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import dates, keys, similarity
-from ..functions.text import normalize_title
-from ..session import materialize
+from ..functions import keys
+from ..session import stage
+from .candidates import (
+    DATE_WEIGHT,
+    FLOOR,
+    MAX_DAYS,
+    NAME_WEIGHT,
+    SURFACE_WEIGHT,
+    Rule,
+    Side,
+    candidates,
+    lists,
+    prepared,
+    tie,
+)
 from .joins import fill_or_override
 
-NAME_WEIGHT, DATE_WEIGHT, SURFACE_WEIGHT = 0.5, 0.4, 0.1
-FLOOR = 0.5
-BACKFILL_FLOOR = 0.8
-MAX_DAYS = 10
-_SLACK = 1e-9
-
-
-@dataclass(frozen=True)
-class Side:
-    """Columns of one side: its id, the name variants, the day and the surface."""
-
-    id: str
-    names: list[str]
-    day: str = "start_date"
-    surface: str = "surface"
+__all__ = ["DATE_WEIGHT", "NAME_WEIGHT", "SURFACE_WEIGHT", "Side", "candidates"]
 
-
-def _prepared(df: DataFrame, side: Side, block: list[str], prefix: str) -> DataFrame:
-    texts = [normalize_title(F.col(n)) for n in side.names]
-    return df.select(
-        *block,
-        F.col(side.id).alias(f"{prefix}_id"),
-        F.col(side.day).cast("date").alias(f"{prefix}_day"),
-        F.lower(F.col(side.surface)).alias(f"{prefix}_surface"),
-        F.array_distinct(F.array(*texts)).alias(f"{prefix}_names"),
-    )
+BACKFILL_FLOOR = 0.8
+# Pairs on the list of an event; it gets more when its list has run dry.
+KEEP = 16
+# Blocks of up to this many pairs are walked in one task, larger ones are resolved in rounds.
+WALK_ROWS = 1_000_000
 
 
-def _near(left: DataFrame, right: DataFrame, block: list[str], max_days: int) -> DataFrame:
-    """Pairs less than ``max_days`` apart, met in date buckets."""
-    cell = F.floor(F.unix_date("l_day") / max_days)
-    a = left.where("l_day is not null").withColumn(
-        "_cell", F.explode(F.sequence(cell - 1, cell + 1))
-    )
-    b = right.where("r_day is not null").withColumn(
-        "_cell", F.floor(F.unix_date("r_day") / max_days)
-    )
-    close = F.abs(F.datediff("l_day", "r_day")) < max_days
-    return a.join(b, [*block, "_cell"]).where(close).drop("_cell")
+def assign(scored: DataFrame, block: list[str], *, walk_rows: int = WALK_ROWS) -> DataFrame:
+    """Greedy one-to-one choice: best score first, both partners then taken.
 
+    ``scored`` has the block, l_id, r_id and score; equal scores are ordered by the MD5 of the pair
+    of ids, and by the ids. With ``in_l`` and ``in_r`` it holds lists (``candidates.lists``): a pair
+    that is the best one left, but not on the lists of both of its events, isn't decided, as an
+    event may have better pairs that are on no list; nor is what both events could take after it.
 
-def _alike(
-    left: DataFrame, right: DataFrame, block: list[str], least: float, same_surface: bool
-) -> DataFrame:
-    """Pairs some of whose names reach the ratio ``least``, whatever their dates."""
-    on = [*block, "_key"]
-    if same_surface:
-        left, right = left.withColumn("_s", F.col("l_surface")), right.withColumn(
-            "_s", F.col("r_surface")
+    Blocks are counted first. A block that fits is one sorted walk: tasks sort the pairs of their
+    blocks and read them in a stream, holding the ids taken of one block. Blocks beyond ``walk_rows``
+    are resolved everywhere at once, see ``_rounds``. Both give the same pairs.
+    """
+    flags = [F.col(c) if c in scored.columns else F.lit(True).alias(c) for c in ("in_l", "in_r")]
+    pairs = scored.select(*block, "l_id", "r_id", "score", tie(F.col("l_id"), F.col("r_id")).alias("_tie"), *flags)
+    pairs = stage(pairs, "pairs")
+    large = pairs.groupBy(*block).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > walk_rows)
+    large = stage(large.drop("_n"), "large-blocks")
+    if large.isEmpty():
+        return _walk(pairs, block)
+    walked = _walk(pairs.join(large, block, "left_anti"), block)
+    return walked.unionByName(_rounds(pairs.join(large, block, "left_semi"), block))
+
+
+def _walk(pairs: DataFrame, block: list[str]) -> DataFrame:
+    """The sorted walk of every block, in the task that holds its sorted pairs."""
+    fields = [*block, "l_id", "r_id", "score"]
+    order = [*block, F.desc("score"), "_tie", "l_id", "r_id"]
+    dealt = pairs.repartition(*block).sortWithinPartitions(*order)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, gone_l, gone_r = None, set(), set()
+        for batch in batches:
+            own = [batch.column(c).to_pylist() for c in block]
+            left, right = batch.column("l_id").to_pylist(), batch.column("r_id").to_pylist()
+            sure = zip(batch.column("in_l").to_pylist(), batch.column("in_r").to_pylist(), strict=True)
+            taken = []
+            for i, (at, l, r, (in_l, in_r)) in enumerate(zip(zip(*own, strict=True), left, right, sure, strict=True)):
+                if at != now:
+                    now, gone_l, gone_r = at, set(), set()
+                if l not in gone_l and r not in gone_r:
+                    gone_l.add(l)
+                    gone_r.add(r)
+                    if in_l and in_r:
+                        taken.append(i)
+            yield batch.select(fields).take(pa.array(taken, pa.int64()))
+
+    return dealt.mapInArrow(run, pairs.select(*fields).schema)
+
+
+def _rounds(pairs: DataFrame, block: list[str]) -> DataFrame:
+    """The same choice for blocks of any size, all at once.
+
+    A pair that is the best of both of its events is taken. One that has a single better competitor
+    is taken if that one is dropped and dropped if that one is taken: such pairs form chains, and
+    pointer doubling carries the answer along a chain of n pairs in about log2(n) steps. A round
+    ranks what is left, resolves chains and drops the competitors of what was taken; pairs with
+    more than one better competitor wait for the next. States: T taken, D dropped, Z undecidable by
+    these lists, U unknown in this round.
+    """
+    fields = [*block, "l_id", "r_id", "score"]
+    order = F.struct((-F.col("score")).alias("down"), "_tie", "l_id", "r_id")
+    left = stage(pairs.withColumn("_at", order), "open-pairs")
+    done: list[DataFrame] = []
+    while not left.isEmpty():
+        ranked = left
+        for side in ("l", "r"):
+            key = [*block, f"{side}_id"]
+            first = left.groupBy(*key).agg(F.min("_at").alias(f"_{side}1"))
+            ranked = ranked.join(first, key)
+            second = ranked.where(F.col("_at") > F.col(f"_{side}1")).groupBy(*key).agg(F.min("_at").alias(f"_{side}2"))
+            ranked = ranked.join(second, key, "left")
+        def better(side: str):
+            top, next_ = F.col(f"_{side}1"), F.col(f"_{side}2")
+            return F.when(F.col("_at") == top, 0).when(F.col("_at") == next_, 1).otherwise(2)
+
+        # The only better competitor: the best pair of the side on which this one is second.
+        above = F.when(better("l") == 1, F.col("_l1")).otherwise(F.col("_r1"))
+        alone = F.when(F.col("in_l") & F.col("in_r"), "T").otherwise("Z")
+        count = better("l") + better("r")
+        nodes = ranked.select(
+            *fields,
+            "_at",
+            F.when(count == 0, alone).when(count > 1, "U").alias("state"),
+            F.when(count == 1, above).alias("above"),
+            F.when(count == 1, F.lit("D")).alias("if_taken"),
+            F.when(count == 1, alone).alias("if_dropped"),
         )
-        on.append("_s")
-    ids = [*block, "l_id", "r_id"]
-
-    def keyed(df: DataFrame, column: str, cut) -> DataFrame:
-        spread = df.withColumn("_name", F.explode(column))
-        if least >= 1:
-            return spread.withColumn("_key", F.col("_name")).drop("_name")
-        return spread.withColumn("_key", F.explode(cut(F.col("_name"), least))).drop("_name")
-
-    a = keyed(left, "l_names", similarity.probe_keys).drop("_name")
-    b = keyed(right, "r_names", similarity.piece_keys)
-    return a.join(b, on).drop("_key", "_s").dropDuplicates(ids)
+        nodes = _follow(stage(nodes, "chains"), block)
+        done.append(nodes.where("state = 'T'").select(*fields))
+        fixed = nodes.where("state in ('T', 'Z')")
+        rest = nodes.where("state = 'U'").select(*fields, "_at")
+        rest = rest.join(fixed.select(*block, "l_id"), [*block, "l_id"], "left_anti")
+        rest = rest.join(fixed.select(*block, "r_id"), [*block, "r_id"], "left_anti")
+        flags = left.select(*block, "_at", "_tie", "in_l", "in_r")
+        left = stage(rest.join(flags, [*block, "_at"]), "open-pairs")
+    out = done[0] if done else pairs.select(*fields).limit(0)
+    for more in done[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def _follow(nodes: DataFrame, block: list[str]) -> DataFrame:
+    """All states, by pointer doubling along the only better competitors."""
+
+    def through(state, taken: str, dropped: str):
+        return F.when(state == "T", F.col(taken)).when(state == "D", F.col(dropped)).otherwise(state)
+
+    while not nodes.where("state is null").isEmpty():
+        target = nodes.select(
+            *block,
+            F.col("_at").alias("above"),
+            F.col("state").alias("_state"),
+            F.col("above").alias("_above"),
+            F.col("if_taken").alias("_taken"),
+            F.col("if_dropped").alias("_dropped"),
+        )
+        waiting = nodes.where("state is null").join(target, [*block, "above"])
+        moved = waiting.select(
+            *[c for c in nodes.columns if c not in ("state", "above", "if_taken", "if_dropped")],
+            F.when(F.col("_state").isNotNull(), through(F.col("_state"), "if_taken", "if_dropped")).alias("state"),
+            F.col("_above").alias("above"),
+            through(F.col("_taken"), "if_taken", "if_dropped").alias("if_taken"),
+            through(F.col("_dropped"), "if_taken", "if_dropped").alias("if_dropped"),
+        )
+        nodes = stage(nodes.where("state is not null").unionByName(moved), "chains")
+    return nodes
 
 
-def candidates(
+def match(
     left: DataFrame,
     right: DataFrame,
     left_side: Side,
@@ -94,94 +176,44 @@ def candidates(
     block: list[str],
     floor: float = FLOOR,
     max_days: int = MAX_DAYS,
+    keep: int = KEEP,
+    walk_rows: int = WALK_ROWS,
 ) -> DataFrame:
-    """Every pair of a block whose score reaches ``floor``: block, l_id, r_id, score."""
-    if floor <= SURFACE_WEIGHT:
-        raise ValueError(f"the floor must be above {SURFACE_WEIGHT}: any pair would reach it")
-    l = _prepared(left, left_side, block, "l")
-    r = _prepared(right, right_side, block, "r")
-
-    near = _near(l, r, block, max_days)
-    found = near
-    same = (floor - SURFACE_WEIGHT) / NAME_WEIGHT
-    other = floor / NAME_WEIGHT
-    if same <= 1 + _SLACK:
-        found = found.unionByName(_alike(l, r, block, min(same, 1.0), True))
-    if other <= 1 + _SLACK:
-        found = found.unionByName(_alike(l, r, block, min(other, 1.0), False))
-    found = found.dropDuplicates([*block, "l_id", "r_id"]) if found is not near else found
-
-    date_part = dates.date_closeness(F.col("l_day"), F.col("r_day"), max_days)
-    surface_part = F.coalesce(
-        (F.col("l_surface") == F.col("r_surface")).cast("double"), F.lit(0.0)
-    )
-    found = found.withColumns({"_date": date_part, "_surface": surface_part})
-    rest = DATE_WEIGHT * F.col("_date") + SURFACE_WEIGHT * F.col("_surface")
-
-    # The ratio runs in Python: ask for each pair of names once, and only where it can matter.
-    variants = found.select(
-        *block, "l_id", "r_id", "_date", "_surface",
-        F.explode("l_names").alias("_a"), "r_names",
-    ).withColumn("_b", F.explode("r_names"))
-    variants = variants.withColumn("_rest", rest)
-    bound = NAME_WEIGHT * similarity.ratio_bound(F.col("_a"), F.col("_b")) + F.col("_rest")
-    variants = variants.where(bound >= floor - _SLACK).drop("r_names")
-    # Of the distinct pairs only those whose shared characters allow the least ratio asked of them.
-    asked = variants.groupBy("_a", "_b").agg(F.max("_rest").alias("_rest"))
-    close = NAME_WEIGHT * similarity.shared_bound(F.col("_a"), F.col("_b")) + F.col("_rest")
-    names = asked.where(close >= floor - _SLACK).select("_a", "_b")
-    rated = names.withColumn("_ratio", similarity.sequence_ratio("_a", "_b"))
-    best = (
-        variants.join(rated, ["_a", "_b"])
-        .groupBy(*block, "l_id", "r_id")
-        .agg(
-            F.max("_ratio").alias("_name"),
-            F.max("_date").alias("_date"),
-            F.max("_surface").alias("_surface"),
-        )
-    )
-    score = (
-        NAME_WEIGHT * F.col("_name")
-        + DATE_WEIGHT * F.col("_date")
-        + SURFACE_WEIGHT * F.col("_surface")
-    )
-    return best.select(*block, "l_id", "r_id", score.alias("score")).where(F.col("score") >= floor)
-
-
-def assign(scored: DataFrame, block: list[str]) -> DataFrame:
-    """Greedy one-to-one choice: best score first, both partners then taken.
+    """block, l_id, r_id, score: the greedy choice among all pairs at or above the floor.
 
-    Equal to walking down the list sorted by score, MD5 of the pair of ids, and ids: a pair that is
-    best for both of its partners would be taken by that walk before anything that competes with
-    it. Each round takes all such pairs at once, everywhere, drops what competes, and ends in one
-    checkpoint that holds the pairs taken so far and the open ones. Ties are ordered by a hash, so
-    long runs of equal scores resolve in few rounds; the number of rounds follows the longest
-    chain of pairs in which each competes with the next and scores rise.
+    Each event brings a list of its ``keep`` best partners, so no block is ever there with all of
+    its pairs. Pairs that the lists decide are taken. An event whose list ran dry while it had more
+    partners asks again, and with it all events of its block that are still free; the best pair of a
+    block is always decided, so this ends, usually after one or two turns.
     """
-    tie = F.md5(F.concat_ws("|", F.col("l_id").cast("string"), F.col("r_id").cast("string")))
-    order = F.struct((-F.col("score")).alias("down"), "_tie", "l_id", "r_id")
-    pairs = scored.select(*block, "l_id", "r_id", "score", tie.alias("_tie"))
-    state = materialize(pairs.withColumn("_taken", F.lit(False)))
+    rule = Rule(floor, max_days)
+    l = stage(prepared(left, left_side, block), "left-events")
+    r = stage(prepared(right, right_side, block), "right-events")
+    done: DataFrame | None = None
     while True:
-        still_open = state.where("not _taken")
-        if still_open.isEmpty():
-            return state.select(*block, "l_id", "r_id", "score")
-        of_left = still_open.groupBy(*block, "l_id").agg(F.min(order).alias("_best"))
-        of_right = still_open.groupBy(*block, "r_id").agg(F.min(order).alias("_best"))
-        mutual = of_left.select(*block, "_best").join(
-            of_right.select(*block, "_best"), [*block, "_best"]
-        )
-        mutual = mutual.select(
-            *block,
-            "_best.l_id",
-            "_best.r_id",
-            (-F.col("_best.down")).alias("score"),
-            "_best._tie",
-            F.lit(True).alias("_taken"),
+        found = stage(lists(l, r, block, rule, keep), "lists")
+        taken = stage(assign(found, block, walk_rows=walk_rows), "taken")
+        done = taken if done is None else done.unionByName(taken)
+        dry = [
+            found.where(f"{side}_more")
+            .select(*block, f"{side}_id")
+            .join(taken, [*block, f"{side}_id"], "left_anti")
+            .select(*block)
+            for side in ("l", "r")
+        ]
+        blocks = stage(dry[0].unionByName(dry[1]).distinct(), "dry-blocks")
+        if blocks.isEmpty():
+            return done
+        l, r = (
+            stage(
+                events.join(blocks, block, "left_semi")
+                .withColumn(f"{side}_id", F.col("event.id"))
+                .join(done.select(*block, f"{side}_id"), [*block, f"{side}_id"], "left_anti")
+                .drop(f"{side}_id"),
+                "free-events",
+            )
+            for side, events in (("l", l), ("r", r))
         )
-        rest = still_open.join(mutual.select(*block, "l_id"), [*block, "l_id"], "left_anti")
-        rest = rest.join(mutual.select(*block, "r_id"), [*block, "r_id"], "left_anti")
-        state = materialize(state.where("_taken").unionByName(mutual).unionByName(rest))
 
 
 # --- tournaments --------------------------------------------------------------------------------
@@ -230,11 +262,11 @@ def match_events(
             [*block, "tourney_id"],
             "left_anti",
         )
-    scored = candidates(
+    found = match(
         free_feed, free_archive, FEED_EVENT, ARCHIVE_EVENT,
         block=block, floor=floor, max_days=max_days,
     )
-    matched = assign(scored, block).select(
+    matched = found.select(
         *block,
         F.col("l_id").alias("uk_source_event_key"),
         F.col("r_id").alias("sackmann_tourney_id"),
@@ -308,11 +340,11 @@ def match_catalog(
     max_days: int = MAX_DAYS,
 ) -> DataFrame:
     """Archive events against the catalog, with a stricter floor: tourney id, catalog id, score."""
-    scored = candidates(
+    found = match(
         archive, catalog, ARCHIVE_EVENT, CATALOG_EVENT,
         block=block, floor=floor, max_days=max_days,
     )
-    return assign(scored, block).select(
+    return found.select(
         *block,
         F.col("l_id").alias("sackmann_tourney_id"),
         F.col("r_id").alias("official_tournament_id"),

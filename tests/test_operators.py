@@ -367,10 +367,3 @@ def test_corrections_merge_and_complain(spark):
         bad = spark.createDataFrame([fix("f", values)], corrections.CORRECTION_SCHEMA)
         with pytest.raises(Exception, match="unknown columns"):
             corrections.apply_corrections(df, bad, named).collect()
-
-
-def test_chain_of_rising_scores(spark):
-    rows = [(1, f"l{i // 2}", f"r{(i + 1) // 2}", 0.5 + i / 1000) for i in range(16)]
-    df = spark.createDataFrame(rows, "b int, l_id string, r_id string, score double")
-    got = {(r.l_id, r.r_id) for r in matching.assign(df, ["b"]).collect()}
-    assert got == {(l, r) for _, l, r in brute_greedy([(*x, 0) for x in rows])}
