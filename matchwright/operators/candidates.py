@@ -3,10 +3,11 @@
 score = 0.5 * name + 0.4 * date + 0.1 * surface, where name is the best gestalt ratio over the
 name variants of both sides, date falls evenly to 0 at ``max_days``, and surface is 1 if equal.
 
-The names' part that a pair needs to reach the floor follows from its dates and surfaces. Where it
-is high, the names are found first: an index of their pieces, cut so that some piece is untouched at
-that ratio. Where it is lower, the dates are so near that the pair meets in a bucket of days. The two
-cases exclude each other and lose no pair at or above the floor.
+The ratio that a pair's names need to reach the floor follows from its dates and surfaces. Pairs
+that need less than any two days would do with are so near that they meet in a bucket of days; a
+stricter floor makes the buckets narrow. All others are found by an index of pieces of their names,
+cut so that some piece is untouched at that ratio; where the floor can't be reached without near
+days, there is no such step. The two cases exclude each other and lose no pair at or above the floor.
 
 Events meet in tiles of bounded lists. A task scores a whole tile with arrays and lets go what is
 below the floor; asked for lists, it keeps only the best pairs of every event and says which events
@@ -31,8 +32,6 @@ from ..functions.text import normalize_title
 NAME_WEIGHT, DATE_WEIGHT, SURFACE_WEIGHT = 0.5, 0.4, 0.1
 FLOOR = 0.5
 MAX_DAYS = 10
-# From this ratio on, pieces of names are long enough to find pairs by them.
-INDEX_RATIO = 0.8
 TILE = 256
 PAIRS_AT_ONCE = 1 << 18
 BINS = 32
@@ -60,13 +59,14 @@ class Rule:
 
     @property
     def indexed(self) -> float:
-        """Pairs that need at least this ratio are found by their names, all others by their days."""
-        return min(INDEX_RATIO, (self.floor - SURFACE_WEIGHT) / NAME_WEIGHT)
+        """The ratio that suffices on any two days; pairs that need it or more are found by their names."""
+        least = (self.floor - SURFACE_WEIGHT) / NAME_WEIGHT
+        return least if least <= 1 + _SLACK else float("inf")
 
     @property
     def reach(self) -> int:
         """Days apart within which a pair can do with a lower ratio."""
-        rest = NAME_WEIGHT * self.indexed + DATE_WEIGHT + SURFACE_WEIGHT - self.floor
+        rest = NAME_WEIGHT * min(self.indexed, 1.0) + DATE_WEIGHT + SURFACE_WEIGHT - self.floor
         return min(self.max_days, int(np.floor(rest * self.max_days / DATE_WEIGHT + _SLACK)))
 
 
@@ -100,7 +100,7 @@ def _chunks(events: DataFrame, keys: list[str]) -> DataFrame:
 
 def _near_tiles(left: DataFrame, right: DataFrame, block: list[str], rule: Rule) -> DataFrame:
     """Lists of the same and of neighbouring buckets of days."""
-    width = rule.reach + 1
+    width = max(1, rule.reach + 1)
     bucket = F.floor(F.col("event.day") / width)
 
     def lists(events: DataFrame, name: str) -> DataFrame:
@@ -324,17 +324,22 @@ def _scored(tiles: DataFrame, block: list[str], rule: Rule, keep: int | None) ->
                 yield scored(batch.slice(start, end - start))
                 start = end
 
-    return tiles.select(*block, "l", "r", "near").mapInArrow(run, schema)
+    # The tiles of one crowded day are one key of the join before; here they go to all tasks.
+    parts = int(tiles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = tiles.select(*block, "l", "r", "near").repartition(parts, F.xxhash64("l.text", "r.text"))
+    return dealt.mapInArrow(run, schema)
 
 
 def _met(left: DataFrame, right: DataFrame, block: list[str], rule: Rule, keep: int | None) -> DataFrame:
-    """Scored pairs of two prepared sides, each once."""
-    out = _scored(_alike_tiles(left, right, block, rule), block, rule, keep).groupBy(*block, "l_id", "r_id").agg(
+    """Scored pairs of two prepared sides, each once, also if several of their names are alike."""
+    near = _scored(_near_tiles(left, right, block, rule), block, rule, keep)
+    if rule.indexed > 1 + _SLACK:
+        found = near
+    else:
+        found = near.unionByName(_scored(_alike_tiles(left, right, block, rule), block, rule, keep))
+    return found.groupBy(*block, "l_id", "r_id").agg(
         F.max("score").alias("score"), F.max("l_more").alias("l_more"), F.max("r_more").alias("r_more")
     )
-    if rule.reach >= 0:
-        out = out.unionByName(_scored(_near_tiles(left, right, block, rule), block, rule, keep))
-    return out
 
 
 def candidates(
@@ -352,8 +357,7 @@ def candidates(
     A missing name is an empty one; ids count once, whatever the number of their rows.
     """
     l, r = prepared(left, left_side, block), prepared(right, right_side, block)
-    found = _met(l, r, block, Rule(floor, max_days), None)
-    return found.groupBy(*block, "l_id", "r_id").agg(F.max("score").alias("score"))
+    return _met(l, r, block, Rule(floor, max_days), None).drop("l_more", "r_more")
 
 
 def tie(l_id: Column, r_id: Column) -> Column:
@@ -370,9 +374,7 @@ def lists(left: DataFrame, right: DataFrame, block: list[str], rule: Rule, keep:
     """
     from pyspark.sql import Window
 
-    found = _met(left, right, block, rule, keep).groupBy(*block, "l_id", "r_id").agg(
-        F.max("score").alias("score"), F.max("l_more").alias("l_more"), F.max("r_more").alias("r_more")
-    )
+    found = _met(left, right, block, rule, keep)
     found = found.withColumn("_tie", tie(F.col("l_id"), F.col("r_id")))
     for side in ("l", "r"):
         own = Window.partitionBy(*block, f"{side}_id")
