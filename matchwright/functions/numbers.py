@@ -17,11 +17,14 @@ def to_double(value: Column) -> Column:
 def to_long(value: Column) -> Column:
     """Whole number or null, exact over the whole range of a long.
 
-    Text such as ``301.0`` or ``3e2`` is accepted, ``301.5`` is not whole. Only texts that are not
-    plain digits go through a decimal, and none through a double.
+    Text such as ``301.0`` or ``3e2`` is accepted, ``301.5`` is not whole, nor is any text with a
+    digit but 0 behind the point, however far. Zeros behind the point are cut off as text; what is
+    left beside plain digits goes through a decimal only if that can hold it without rounding (at
+    most nine decimals and exponents from -9 to 99), and nothing through a double.
     """
-    text = F.trim(value.cast("string"))
-    number = text.try_cast("decimal(38,10)")
+    text = F.regexp_replace(F.trim(value.cast("string")), r"\.0*$", "")
+    shape = r"^[+-]?\d{0,20}(\.\d{0,9})?([eE](\+?\d{1,2}|-\d))?$"
+    number = F.when(text.rlike(shape), text.try_cast("decimal(38,18)"))
     whole = F.when(number == F.floor(number), number.try_cast("bigint"))
     return F.coalesce(text.try_cast("bigint"), whole)
 

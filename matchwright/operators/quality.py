@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stage
+
 # Fixed values.
 SURFACES = ("hard", "clay", "grass", "carpet")
 ROUNDS = ("R128", "R64", "R32", "R16", "QF", "SF", "F", "RR")
@@ -171,6 +174,78 @@ def quality_report(
     return long.unionByName(statuses).unionByName(repeated)
 
 
+@dataclass(frozen=True)
+class Measures:
+    """All that gates and report ask of a table, counted in one pass over its rows.
+
+    ``counts`` has a row per partition and status: the rows, a count for every rule, for every
+    column that is missing and for completed rows without all needed values. ``repeated`` has the
+    rows beyond the first of their key; that is the one further pass.
+    """
+
+    by: list[str]
+    rules: list[str]
+    columns: list[str]
+    counts: DataFrame
+    repeated: DataFrame
+
+    def violations(self) -> DataFrame:
+        """As ``violations``: (by, rule, rows) for every broken rule."""
+        summed = self.counts.groupBy(*self.by).agg(*[F.sum(f"rule_{r}").alias(r) for r in self.rules])
+        broken = summed.unpivot(self.by, self.rules, "rule", "rows")
+        keys = self.repeated.select(*self.by, F.lit("duplicate_key").alias("rule"), F.col("extra").alias("rows"))
+        return broken.unionByName(keys).where("rows > 0")
+
+    def rows(self) -> DataFrame:
+        return self.counts.groupBy(*self.by).agg(F.sum("n").alias("rows"))
+
+    def report(self) -> DataFrame:
+        """As ``quality_report``: (by, metric, value)."""
+        total = F.sum("n")
+        measures = [total.cast("double").alias("rows")]
+        measures += [F.bround(100 * F.sum(f"missing_{c}") / total, 4).alias(f"missing_pct_{c}") for c in self.columns]
+        measures.append(F.sum("gaps").cast("double").alias("completed_missing_odds"))
+        wide = self.counts.groupBy(*self.by).agg(*measures)
+        long = wide.unpivot(self.by, [c for c in wide.columns if c not in self.by], "metric", "value").where(
+            "not startswith(metric, 'missing_pct_') or value > 0"
+        )
+        statuses = self.counts.select(
+            *self.by, F.concat(F.lit("status_count_"), "label").alias("metric"), F.col("n").cast("double").alias("value")
+        )
+        keys = self.repeated.select(
+            *self.by, F.lit("duplicate_match_keys").alias("metric"), F.col("extra").cast("double").alias("value")
+        )
+        return long.unionByName(statuses).unionByName(keys)
+
+
+def measure(
+    df: DataFrame,
+    rules: Mapping[str, Column],
+    by: list[str],
+    *,
+    key: str = "source_match_key",
+    status: str = "match_status",
+    completed: str = "completed",
+    needed: Iterable[str] = (),
+) -> Measures:
+    """Count a table once for its gates and its report; the counts are staged."""
+    columns = [c for c in df.columns if c not in by]
+    gap = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in needed], F.lit(False))
+    counts = df.groupBy(*by, F.lower(F.coalesce(F.col(status), F.lit("nan"))).alias("label")).agg(
+        F.count("*").alias("n"),
+        *[F.count_if(rule).alias(f"rule_{name}") for name, rule in rules.items()],
+        *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"missing_{c}") for c in columns],
+        F.count_if((F.col(status) == completed) & gap).alias("gaps"),
+    )
+    repeated = (
+        df.groupBy(*by, key)
+        .agg((F.count("*") - 1).alias("extra"))
+        .groupBy(*by)
+        .agg(F.sum("extra").alias("extra"))
+    )
+    return Measures(by, list(rules), columns, stage(counts, "measures"), stage(repeated, "repeated-keys"))
+
+
 def wide_report(long: DataFrame, by: list[str], metrics: list[str]) -> DataFrame:
     """Wide view of the long report for the metrics named, absent ones as 0."""
     return long.groupBy(*by).agg(

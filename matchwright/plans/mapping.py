@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import archive as archive_contract
+from ..contracts import feed as feed_contract
 from ..operators import identity, matching, merge
 from ..operators.columns import not_equal
 from ..operators.ordering import dedupe
@@ -76,11 +77,7 @@ def map_tournaments(
     old_links = current(spark, f"{root}/source_links", SOURCE_LINKS)
     forced = None
     if manual is not None:
-        per_tour = [
-            merge.forced_keys(manual.where(F.col("tour") == t)).withColumn("tour", F.lit(t))
-            for t in ("atp", "wta")
-        ]
-        forced = per_tour[0].unionByName(per_tour[1])
+        forced = merge.forced_keys(manual, feed_contract.SOURCE, archive_contract.SOURCE, ("tour",))
     new_links = identity.source_links(links).select(*old_links.columns)
     merged = merge.priority_merge(touched(old_links, new_links, block), new_links, forced, keys=key)
     store(merged, f"{root}/source_links", block, sort=key)

@@ -78,7 +78,7 @@ def priority_merge(spark, sf):
         c("c_custkey").cast("string").alias("uk_source_event_key"),
         F.lit(None).cast("string").alias("sackmann_tourney_id"),
     )
-    merged = merge.priority_merge(old, new, merge.forced_keys(overrides, feed="customer"))
+    merged = merge.priority_merge(old, new, merge.forced_keys(overrides, "customer", "other"))
     return merged.select(
         c("source_tournament_id").cast("bigint").alias("customer"), "official_tournament_id"
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,14 +28,28 @@ def overwrite_partitions(
     ).partitionBy(*by).format(fmt).save(path)
 
 
+# What Spark escapes in the folder of a partition value, and the folder of no value.
+_ESCAPED = re.compile(r"""[\x00-\x1f\x7f"#%'*/:=?\\{\[\]^]""")
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def partition_folder(by: list[str], values: tuple) -> str:
+    """The folder of a partition, with escapes as Spark writes them."""
+
+    def shown(value) -> str:
+        text = "" if value is None else str(value)
+        return _ESCAPED.sub(lambda m: f"%{ord(m[0]):02X}", text) if text else _NO_VALUE
+
+    return "/".join(f"{shown(c)}={shown(v)}" for c, v in zip(by, values, strict=True))
+
+
 def clear_partitions(
     spark: SparkSession, path: str, by: list[str], emptied: Iterable[tuple]
 ) -> None:
     """Remove whole partitions, named by their values in the order of ``by``."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     for values in emptied:
-        folder = "/".join(f"{c}={v}" for c, v in zip(by, values, strict=True))
-        target = hadoop.Path(f"{path.rstrip('/')}/{folder}")
+        target = hadoop.Path(f"{path.rstrip('/')}/{partition_folder(by, values)}")
         target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
@@ -51,11 +66,13 @@ def replace_partitions(
 
     Partitions of ``due`` without a row now are removed, so nothing stale is left behind; all
     others stay. Full partitions are replaced before empty ones are removed, and a run that ends in
-    between is mended by the next. One writer per partition at a time.
+    between is mended by the next. One writer per partition at a time. The rows are computed once:
+    they are staged, and the staged copy tells which partitions are filled.
     """
-    overwrite_partitions(df, path, by, sort=sort, fmt=fmt)
-    filled = {tuple(str(x) for x in r) for r in df.select(*by).distinct().collect()}
-    emptied = [x for x in due if tuple(str(v) for v in x) not in filled]
+    rows = stage(df, "replacement")
+    overwrite_partitions(rows, path, by, sort=sort, fmt=fmt)
+    filled = {partition_folder(by, tuple(r)) for r in rows.select(*by).distinct().collect()}
+    emptied = [x for x in due if partition_folder(by, tuple(x)) not in filled]
     clear_partitions(df.sparkSession, path, by, emptied)
 
 

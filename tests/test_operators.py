@@ -133,7 +133,7 @@ def test_priority_merge(spark, old, new, forced, want):
     a, b = spark.createDataFrame([(old, 2016, "sackmann", "2016-M006")], s), spark.createDataFrame([(new, 2016, "sackmann", "2016-M006")], s)
     key = "2016-M006" if forced else "other"
     manual = spark.createDataFrame([(2016, None, key, 1)], "year bigint, uk_source_event_key string, sackmann_tourney_id string, official_tournament_id bigint")
-    rows = merge.priority_merge(a, b, merge.forced_keys(manual)).collect()
+    rows = merge.priority_merge(a, b, merge.forced_keys(manual, 'tennis_data_uk', 'sackmann')).collect()
     assert [r.official_tournament_id for r in rows] == [want]
 
 
