@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import aggregates, jobs, linkage, rows, upkeep  # noqa: F401
+from . import aggregates, daily, jobs, linkage, rows, upkeep  # noqa: F401
 from .registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
