@@ -426,13 +426,135 @@ def manual_links(
 # --- all passes ---------------------------------------------------------------------------------
 
 
+# Keys in one row of a list of members.
+MEMBERS = 1024
+
+
+@dataclass(frozen=True)
+class Candidates:
+    """Who could belong together, without a row per pair.
+
+    ``members`` has the records of every group of equal evidence (a block and a rank pair, or a
+    block, a round and a pair of spellings): found_in_pass, the block, side (``feed`` or
+    ``archive``), evidence, and ``keys``, at most about MEMBERS match keys in a row. ``links`` says
+    which feed group fits which archive group. Both grow with the records and the spellings; a
+    group with a third of all records on both sides is that many keys, not their product.
+    """
+
+    members: DataFrame
+    links: DataFrame
+    block: tuple[str, ...] = BLOCK
+
+    def _linked(self, side: str, other: DataFrame) -> DataFrame:
+        own = self.members.where(F.col("side") == side)
+        own = own.select("found_in_pass", *self.block, F.col("evidence").alias(f"{side}_evidence"), F.col("keys").alias(side))
+        return other.join(own, ["found_in_pass", *self.block, f"{side}_evidence"])
+
+    def pairs(self) -> DataFrame:
+        """All pairs, unnested on demand: their number is that of the pairs."""
+        both = self._linked("archive", self._linked("feed", self.links))
+        one = both.withColumn("source_match_key", F.explode("feed"))
+        return one.select(
+            "found_in_pass", *self.block, "source_match_key", F.explode("archive").alias("canonical_match_key")
+        )
+
+    def best(self, k: int) -> DataFrame:
+        """The first ``k`` candidates of every record, by key: at most k rows for each of them.
+
+        A group's list is cut to k before groups meet, so no step holds more than k keys for a
+        row of members.
+        """
+        first = lambda keys: F.slice(F.array_sort(F.flatten(keys)), 1, k)
+        on = ["found_in_pass", *self.block]
+        of_group = (
+            self.members.where("side = 'archive'")
+            .withColumn("keys", F.slice(F.array_sort("keys"), 1, k))
+            .withColumn("_part", F.pmod(F.xxhash64("keys"), F.lit(64)))
+            .groupBy(*on, "evidence", "_part")
+            .agg(first(F.collect_list("keys")).alias("keys"))
+            .groupBy(*on, F.col("evidence").alias("archive_evidence"))
+            .agg(first(F.collect_list("keys")).alias("keys"))
+        )
+        met = self.links.join(of_group, [*on, "archive_evidence"])
+        met = met.groupBy(*on, "feed_evidence").agg(first(F.collect_list("keys")).alias("archive"))
+        own = self._linked("feed", met).withColumn("source_match_key", F.explode("feed"))
+        return own.select(*on, "source_match_key", F.posexplode("archive").alias("rank", "canonical_match_key")).withColumn(
+            "rank", F.col("rank") + 1
+        )
+
+
+def _evidence(keys: list[str]) -> Column:
+    """The values of a group as one text; null differs from every value."""
+    return F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in keys]))
+
+
+def _sides(left: DataFrame, right: DataFrame, number: int, block: tuple[str, ...]) -> DataFrame:
+    """Records of both sides with their evidence, as (found_in_pass, block, side, evidence, key)."""
+    parts = [
+        df.select(F.lit(number).alias("found_in_pass"), *block, F.lit(side).alias("side"), "evidence", F.col(key).alias("key"))
+        for df, side, key in ((left, "feed", "source_match_key"), (right, "archive", "canonical_match_key"))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def _linked_groups(pairs: DataFrame, number: int, block: tuple[str, ...]) -> DataFrame:
+    return pairs.select(F.lit(number).alias("found_in_pass"), *block, "feed_evidence", "archive_evidence").distinct()
+
+
+def _rank_groups(feed: DataFrame, archive: DataFrame, block: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    """Members and links of the groups with equal block and rank pair: each fits itself."""
+    known = [block[-1], *RANKS]
+    left, right = (df.dropna(subset=known).withColumn("evidence", _evidence([*RANKS])) for df in (feed, archive))
+    on = [*block, "evidence"]
+    groups = left.select(*on).distinct().join(right.select(*on).distinct(), on)
+    members = _sides(left, right.join(groups, on, "left_semi"), 1, block)
+    own = groups.select(*block, F.col("evidence").alias("feed_evidence"), F.col("evidence").alias("archive_evidence"))
+    return members, _linked_groups(own, 1, block)
+
+
+def _name_groups(feed: DataFrame, archive: DataFrame, block: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    """Members and links of the groups with equal block, round and spellings of both names."""
+    keys = [*block, "round", *_NAMES]
+    known = [block[-1], *_NAMES]
+    left, right = (
+        df.dropna(subset=known).withColumn("evidence", _evidence(["round", *_NAMES])) for df in (feed, archive)
+    )
+    spelled_left, spelled_right = (df.select(*keys, "evidence").distinct() for df in (left, right))
+    fits = _fitting(
+        _with_names(spelled_left, short_names(spelled_left), "letters"),
+        _with_names(spelled_right, full_names(spelled_right), "given"),
+        block,
+    )
+    links = fits.select(
+        *[F.col(f"u.{c}") for c in block], F.col("u.evidence").alias("feed_evidence"), F.col("k.evidence").alias("archive_evidence")
+    )
+    links = stage(_linked_groups(links, 2, block), "name-group-links")
+    on = [*block, "evidence"]
+    met = [links.select(*block, F.col(f"{side}_evidence").alias("evidence")).distinct() for side in ("feed", "archive")]
+    return _sides(left.join(met[0], on, "left_semi"), right.join(met[1], on, "left_semi"), 2, block), links
+
+
+def _listed(members: DataFrame, block: tuple[str, ...]) -> DataFrame:
+    """Members as lists; a large group is split by a hash of the match key."""
+    on = ["found_in_pass", *block, "side", "evidence"]
+    large = members.groupBy(*on).agg(F.count("*").alias("_n")).where(F.col("_n") > MEMBERS)
+    parts = F.coalesce(F.ceil(F.col("_n") / MEMBERS), F.lit(1))
+    return (
+        members.join(large, on, "left")
+        .withColumn("_part", F.pmod(F.xxhash64("key"), parts))
+        .groupBy(*on, "_part")
+        .agg(F.sort_array(F.collect_list("key")).alias("keys"))
+        .drop("_part")
+    )
+
+
 @dataclass(frozen=True)
 class Linked:
     """Outcome of all passes.
 
     ``status`` has one row per feed record: ``linked``, ``ambiguous`` or ``unmatched``, the last
     with a reason. ``ambiguous`` lists the ambiguous feed records with their candidate counts and
-    the pass that found them; ``pairs`` turns it into the review list.
+    the pass that found them; ``candidates`` turns it into the review list.
     """
 
     feed: DataFrame
@@ -449,22 +571,23 @@ class Linked:
         rest = self.status.where("linkage_status = 'unmatched'").select(*keys, "linkage_status")
         return self.feed.join(rest, keys).withColumn("unmatched_reason", unmatched_reason())
 
-    def pairs(self) -> DataFrame:
-        """Candidate pairs of the ambiguous records, one row per pass and pair."""
+    def candidates(self) -> Candidates:
+        """Candidates of the ambiguous records by groups of equal evidence, never as pairs."""
         by_pass = {}
         keys = [*scope_of(self.block), "source_match_key"]
         for number in (1, 2):
             found = self.ambiguous.where(F.col("found_in_pass") == number)
             by_pass[number] = self.feed.join(found.select(*keys), keys, "left_semi")
-        columns = [*self.block, "source_match_key", "canonical_match_key"]
         taken = self.accepted.where(F.col("match_method") != BY_NAMES)
         free = self.archive.join(taken, [*scope_of(self.block), "canonical_match_key"], "left_anti")
-        ranks = rank_pairs(by_pass[1], self.archive, self.block)
-        fits = name_pairs(by_pass[2], free, self.block)
-        return (
-            ranks.select(F.lit(1).alias("found_in_pass"), *columns)
-            .unionByName(fits.select(F.lit(2).alias("found_in_pass"), *columns))
-        )
+        by_ranks = _rank_groups(by_pass[1], self.archive, self.block)
+        by_names = _name_groups(by_pass[2], free, self.block)
+        members = _listed(by_ranks[0].unionByName(by_names[0]), self.block)
+        return Candidates(members, by_ranks[1].unionByName(by_names[1]), self.block)
+
+    def pairs(self) -> DataFrame:
+        """Candidate pairs of the ambiguous records, one row per pass and pair."""
+        return self.candidates().pairs()
 
 
 def link(
