@@ -109,3 +109,42 @@ def test_raw_sink_keeps_what_a_wrong_drop_would_replace(spark, tmp_path):
     assert [(y, rule) for _, y, rule, _ in told.problems][0] == (2024, "wrong_data_set")
     rows = {r.Year: r.New for r in feed.scan_stored_raw(spark, root, "atp").collect()}
     assert rows == {2024: None, 2025: 1.0}
+
+
+def test_a_drop_that_lands_again_takes_back_what_it_said(spark, tmp_path, monkeypatch):
+    landing, root = str(tmp_path / "drops"), str(tmp_path / "out")
+    schema = "year int, v int, drop string, version int"
+
+    def landed():
+        every = spark.read.schema(schema).parquet(landing)
+        last = every.groupBy("drop").agg(F.max("version").alias("version"))
+        return every.join(last, ["drop", "version"], "left_semi")
+
+    def run(rows):
+        if rows:
+            spark.createDataFrame(rows, schema).write.mode("append").partitionBy("drop", "version").parquet(landing)
+        refresh.refresh_drops(
+            spark.readStream.schema(schema).parquet(landing),
+            landed,
+            lambda df: {"sums": df.groupBy("drop", "year").agg(F.sum("v").alias("v"))},
+            lambda parts: parts["sums"].groupBy("year").agg(F.sum("v").alias("v")),
+            root,
+            str(tmp_path / "checkpoint"),
+            ["year"],
+        )
+        return sorted((r.year, r.v) for r in spark.read.schema("v bigint, year int").parquet(f"{root}/summary").collect())
+
+    assert run([(1, 10, "a", 1), (2, 20, "a", 1), (2, 5, "b", 1)]) == [(1, 10), (2, 25)]
+    replace = refresh.replace_partitions
+
+    def broken(df, path, *args, **kwargs):
+        if path.endswith("summary"):
+            raise RuntimeError("lost")
+        return replace(df, path, *args, **kwargs)
+
+    monkeypatch.setattr(refresh, "replace_partitions", broken)
+    with pytest.raises(Exception, match="lost"):
+        run([(1, 11, "a", 2), (3, 30, "c", 1)])
+    monkeypatch.setattr(refresh, "replace_partitions", replace)
+    assert run([]) == [(1, 11), (2, 5), (3, 30)]
+    assert run([(2, 7, "b", 2)]) == [(1, 11), (2, 7), (3, 30)]
