@@ -11,11 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..operators.columns import union_seasons
 from ..session import stage
 
 
 RAGGED = "_ragged"
+# A quoted field, from the start of the line or a comma on; a backslash escapes a quote.
+_QUOTED = r'(?<=^|,)"(?:[^"\\]|\\.)*"'
 
 
 def headers_of(spark: SparkSession, paths: Iterable[str]) -> dict[str, tuple[str, ...]]:
@@ -42,34 +43,48 @@ def read_text_csv(
 ) -> DataFrame:
     """Files with drifting headers as one frame of text columns, with ``_file`` for the origin.
 
-    Files are grouped by their exact header; each group is one scan with its own schema, and the
-    groups are joined up by name. One scan over all of them would apply the first header to every
-    file and swap values silently. Within a group Spark verifies the header of every file.
+    One scan of lines, however many files and headers there are. A small table says which header a
+    file has; the fields of a line are parsed once, and each column takes the field at the place
+    that the line's header gives it, or null. The plan has one expression per column name.
 
     Lines with more or fewer fields than the header are kept whole in the column ``_ragged``, null
-    for all others; see ``ragged_lines`` and ``reject_ragged``. ``headers`` is what ``headers_of``
-    found, if that is known already.
+    for all others; see ``ragged_lines`` and ``reject_ragged``. Blank lines and lines that repeat
+    the header are no records. ``headers`` is what ``headers_of`` found, if that is known already.
     """
-    known = headers_of(spark, paths) if headers is None else headers
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for file, header in sorted(known.items()):
-        groups.setdefault(header, []).append(unquote(file))
-    if not groups:
+    known = dict(sorted((headers_of(spark, paths) if headers is None else headers).items()))
+    if not known:
         raise ValueError("no files to read")
-    frames = []
-    for header, members in groups.items():
-        schema = StructType([StructField(c, StringType()) for c in (*header, RAGGED)])
-        scan = (
-            spark.read.schema(schema)
-            .option("header", True)
-            .option("enforceSchema", False)
-            .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", RAGGED)
-            .option("columnPruning", False)
-            .csv(members)
-        )
-        frames.append(scan.select("*", F.col("_metadata.file_path").alias("_file")))
-    return union_seasons(frames)
+    kinds = list(dict.fromkeys(known.values()))
+    names = list(dict.fromkeys(c for header in kinds for c in header))
+    width = max(map(len, kinds))
+    places = [[header.index(c) if c in header else -1 for c in names] for header in kinds]
+    number = {header: i for i, header in enumerate(kinds)}
+    of_file = spark.createDataFrame(
+        [(file, number[header], len(header)) for file, header in known.items()], "_file string, _kind int, _width int"
+    )
+    lines = spark.read.text([unquote(file) for file in known]).select(
+        "value", F.col("_metadata.file_path").alias("_file")
+    )
+    schema = StructType([StructField(f"f{i}", StringType()) for i in range(width)])
+    parsed = F.from_csv("value", schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "))
+    bare = F.regexp_replace("value", _QUOTED, "")
+    fields = 1 + F.length(bare) - F.length(F.replace(bare, F.lit(",")))
+    split = (
+        lines.where(F.trim("value") != "")
+        .join(of_file, "_file")
+        .withColumns({"_f": parsed, "_n": fields})
+        .withColumn("_f", F.array(*[F.col(f"_f.f{i}") for i in range(width)]))
+    )
+    heads = F.array(*[F.array(*[F.lit(c) for c in header]) for header in kinds])
+    own = F.slice(F.col("_f"), 1, F.col("_width"))
+    is_header = (F.col("_n") == F.col("_width")) & (own == F.element_at(heads, F.col("_kind") + 1))
+    at = F.element_at(F.array(*[F.array(*[F.lit(x) for x in row]) for row in places]), F.col("_kind") + 1)
+    routed = split.where(~F.coalesce(is_header, F.lit(False))).withColumn("_at", at)
+    return routed.select(
+        *[F.get("_f", F.col("_at")[j]).alias(c) for j, c in enumerate(names)],
+        F.when(F.col("_n") != F.col("_width"), F.col("value")).alias(RAGGED),
+        "_file",
+    )
 
 
 def ragged_lines(df: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Replayed batches, gates in one pass, stored candidates, whole numbers, folders of partitions."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from matchwright.functions import numbers
 from matchwright.operators import linking, quality
 from matchwright.plans import cleaning
-from matchwright.sources import feed, sinks
+from matchwright.sources import feed, files, sinks
 from matchwright.streaming import refresh
 
 HEADER = "ATP,Location,Tournament,Date,Series,Court,Surface,Round,Best of,Winner,Loser,WRank,LRank,W1,L1,Wsets,Lsets,Comment"
@@ -148,3 +149,22 @@ def test_a_drop_that_lands_again_takes_back_what_it_said(spark, tmp_path, monkey
     monkeypatch.setattr(refresh, "replace_partitions", replace)
     assert run([]) == [(1, 11), (2, 5), (3, 30)]
     assert run([(2, 7, "b", 2)]) == [(1, 11), (2, 7), (3, 30)]
+
+
+def test_many_headers_are_one_scan(spark, tmp_path):
+    pick = random.Random(1)
+    names = [f"c{i}" for i in range(12)]
+    want = []
+    for i in range(60):
+        header = pick.sample(names, pick.randint(2, 12))
+        values = {c: pick.choice(["1", "", "x y", 'say \\"a\\", b']) for c in header}
+        line = ",".join(f'"{values[c]}"' if "," in values[c] else values[c] for c in header)
+        land(tmp_path / f"{i % 7}" / f"f {i}.csv", ",".join(header), line, line + ",more", ",".join(header))
+        plain = {c: v.replace("\\", "") or None for c, v in values.items()}
+        want.append(tuple(plain.get(c) for c in names))
+    df = files.read_text_csv(spark, [str(tmp_path / str(k)) for k in range(7)])
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") <= 1
+    rows = df.collect()
+    good = sorted((tuple(r[c] for c in names) for r in rows if r[files.RAGGED] is None), key=str)
+    assert good == sorted(want, key=str)
+    assert len(rows) == 120 and all(r[files.RAGGED].endswith(",more") for r in rows if r[files.RAGGED])
