@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from matchwright.functions import numbers
-from matchwright.operators import linking, quality
+from matchwright.operators import linking, quality, sketches
 from matchwright.plans import cleaning
 from matchwright.sources import feed, files, sinks
 from matchwright.streaming import refresh
@@ -168,3 +168,21 @@ def test_many_headers_are_one_scan(spark, tmp_path):
     good = sorted((tuple(r[c] for c in names) for r in rows if r[files.RAGGED] is None), key=str)
     assert good == sorted(want, key=str)
     assert len(rows) == 120 and all(r[files.RAGGED].endswith(",more") for r in rows if r[files.RAGGED])
+
+
+def test_merged_sketches_equal_those_of_all_rows(spark, tmp_path):
+    rows = [(y, i % (10 * y), float(i) if i % 4 else None, None, "ab"[i % 3 == 0]) for y in (1, 2, 3) for i in range(400)]
+    df = spark.createDataFrame(rows, "year int, k int, v double, none string, `a b` string")
+    root = str(tmp_path / "sketches")
+    sketches.store(sketches.sketch(df, ["year"]), root, ["year"], [(1,), (2,), (3,)])
+    on_file = sketches.stored(spark, root, "year int")
+    got = {r["column"]: r for r in sketches.profile(on_file, quantiles=(0.5,), top=2).collect()}
+    assert (got["k"].rows, got["k"].distinct_values, got["v"].missing_pct, got["none"].missing_pct) == (1200, 30, 25.0, 100.0)
+    assert got["none"].distinct_values == 0 and got["none"].quantiles is None and got["none"].frequent is None
+    assert abs(got["v"].quantiles[0] - 200) <= 12 and got["a b"].quantiles is None
+    assert [tuple(f) for f in got["a b"].frequent] == [("a", 798), ("b", 402)]
+    by_year = sketches.profile(on_file, ["year"]).where("column = 'k'").collect()
+    assert {r.year: r.distinct_values for r in by_year} == {1: 10, 2: 20, 3: 30}
+    sketches.store(sketches.sketch(df.where("k < 0"), ["year"]), root, ["year"], [(3,)])
+    assert sketches.profile(sketches.stored(spark, root, "year int")).where("column = 'k'").first().distinct_values == 20
+    assert sketches.profile(sketches.stored(spark, str(tmp_path / "none"), "year int")).collect() == []
