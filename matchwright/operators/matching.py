@@ -51,13 +51,17 @@ def assign(scored: DataFrame, block: list[str], *, walk_rows: int = WALK_ROWS) -
     blocks and read them in a stream, holding the ids taken of one block. Blocks beyond ``walk_rows``
     are resolved everywhere at once, see ``_rounds``. Both give the same pairs.
     """
+    return _assign(stage(scored, "pairs"), block, walk_rows)
+
+
+def _assign(scored: DataFrame, block: list[str], walk_rows: int) -> DataFrame:
+    """``assign`` of pairs that are stored."""
     flags = [F.col(c) if c in scored.columns else F.lit(True).alias(c) for c in ("in_l", "in_r")]
     pairs = scored.select(*block, "l_id", "r_id", "score", tie(F.col("l_id"), F.col("r_id")).alias("_tie"), *flags)
-    pairs = stage(pairs, "pairs")
-    large = pairs.groupBy(*block).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > walk_rows)
-    large = stage(large.drop("_n"), "large-blocks")
+    large = scored.groupBy(*block).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > walk_rows)
     if large.isEmpty():
         return _walk(pairs, block)
+    large = stage(large.drop("_n"), "large-blocks")
     walked = _walk(pairs.join(large, block, "left_anti"), block)
     return walked.unionByName(_rounds(pairs.join(large, block, "left_semi"), block))
 
@@ -192,7 +196,7 @@ def match(
     done: DataFrame | None = None
     while True:
         found = stage(lists(l, r, block, rule, keep), "lists")
-        taken = stage(assign(found, block, walk_rows=walk_rows), "taken")
+        taken = stage(_assign(found, block, walk_rows), "taken")
         done = taken if done is None else done.unionByName(taken)
         dry = [
             found.where(f"{side}_more")
@@ -201,9 +205,10 @@ def match(
             .select(*block)
             for side in ("l", "r")
         ]
-        blocks = stage(dry[0].unionByName(dry[1]).distinct(), "dry-blocks")
+        blocks = dry[0].unionByName(dry[1]).distinct()
         if blocks.isEmpty():
             return done
+        blocks = stage(blocks, "dry-blocks")
         l, r = (
             stage(
                 events.join(blocks, block, "left_semi")
