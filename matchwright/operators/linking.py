@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import names
-from ..session import materialize, stage
+from ..session import stage
 from .columns import ensure_columns
 
 MANUAL = "manual_override"
@@ -159,15 +159,20 @@ def _contradicted() -> Column:
     return rounds & (winner | loser)
 
 
-def rank_links(blocks: DataFrame) -> DataFrame:
-    """Accepted links: a single record on each side, not contradicted by round and names.
+def judged(blocks: DataFrame) -> DataFrame:
+    """Blocks with ``linked``: a single record on each side, not contradicted by round and names.
 
     The contradiction is looked at after counting, so it can never turn an ambiguous block into a
     unique one.
     """
-    unique = blocks.where((F.col("n") == 1) & (F.col("m") == 1) & ~_contradicted())
+    return blocks.withColumn("linked", (F.col("n") == 1) & (F.col("m") == 1) & ~_contradicted())
+
+
+def rank_links(blocks: DataFrame) -> DataFrame:
+    """Accepted links of the linked blocks; blocks that aren't judged yet are judged here."""
+    linked = blocks if "linked" in blocks.columns else judged(blocks)
     return _links(
-        unique.withColumns(
+        linked.where("linked").withColumns(
             {
                 "source_match_key": F.col("f.source_match_key"),
                 "canonical_match_key": F.col("a.canonical_match_key"),
@@ -602,29 +607,35 @@ def link(
     Both frames carry the official id already (``attach_official_ids``) and match keys that are
     unique within tour and season (the block without its event id).
     A record that is ambiguous by rank gets another chance by names; a linked record is never
-    reconsidered. The blocks of pass 1 and the name groups of pass 2 are stored once, because
-    several later steps read them.
+    reconsidered. What the passes need of both sides is stored once, and so are the judged blocks of
+    pass 1, the feed with the block of each record, and the name groups of pass 2. What pass 1 says
+    of a record is read off its block, so the rest of both sides needs no join by match key.
     """
     feed, archive = ensure_columns(feed, FEED_COLUMNS), ensure_columns(archive, ARCHIVE_COLUMNS)
     scope = scope_of(block)
     own, other = [*scope, "source_match_key"], [*scope, "canonical_match_key"]
-    by_hand = manual_links(manual, feed, archive, block) if manual is not None else None
-    free_feed, free_archive = feed, archive
-    if by_hand is not None:
-        by_hand = materialize(by_hand)
-        free_feed = feed.join(by_hand, own, "left_anti")
-        free_archive = archive.join(by_hand, other, "left_anti")
-
-    blocks = materialize(rank_blocks(free_feed, free_archive, block))
+    all_feed = stage(feed.select(*dict.fromkeys([*block, *FEED_COLUMNS])), "link-feed")
+    all_archive = stage(archive.select(*dict.fromkeys([*block, *ARCHIVE_COLUMNS])), "link-archive")
+    by_hand = None
+    free_feed, free_archive = all_feed, all_archive
+    if manual is not None:
+        by_hand = stage(manual_links(manual, all_feed, all_archive, block), "manual-links")
+        free_feed = all_feed.join(by_hand, own, "left_anti")
+        free_archive = all_archive.join(by_hand, other, "left_anti")
+
+    blocks = stage(judged(rank_blocks(free_feed, free_archive, block)), "rank-blocks")
     first = rank_links(blocks)
-    several = rank_ambiguous(free_feed, blocks, block).select(
+    met = [*block, *RANKS]
+    seen = stage(free_feed.join(blocks.select(*met, "n", "m", "linked"), met, "left"), "met-feed")
+    several = seen.where("n > 1 or m > 1").select(
         *own, F.lit(1).alias("found_in_pass"),
-        "source_candidate_count", "canonical_candidate_count",
+        F.col("m").alias("source_candidate_count"), F.col("n").alias("canonical_candidate_count"),
     )
 
-    left = free_feed.join(first, own, "left_anti")
-    right = free_archive.join(first, other, "left_anti")
-    groups = materialize(name_groups(left, right, block, spelled(feed, archive)))
+    left = seen.where("not coalesce(linked, false)").drop("n", "m", "linked")
+    right = free_archive.join(blocks.where("linked").select(*met), met, "left_anti")
+    parsed = spelled(all_feed, all_archive)
+    groups = stage(name_groups(left, right, block, parsed), "name-groups")
     second = name_links(groups, block)
     named = name_candidates(left, groups, block).select(
         *own, F.lit(2).alias("found_in_pass"),
@@ -635,7 +646,7 @@ def link(
     if by_hand is not None:
         accepted = by_hand.unionByName(accepted)
     candidates = several.unionByName(named)
-    status = final_status(feed, accepted, candidates, scope)
+    status = final_status(all_feed, accepted, candidates, scope)
     ambiguous = candidates.join(accepted, own, "left_anti")
     return Linked(feed, archive, accepted, status, ambiguous, block)
 
