@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import dates
 from ..operators import joins, linking, matching, profile
 from ..plans.linking import KEY, review
-from ..session import materialize
+from ..session import stage
 from .registry import query, table
 
 c = F.col
@@ -149,12 +149,12 @@ FROM a2
 """)
 def round_block_links(spark, sf):
     """Name pairs inside (event, round) for what the ranks left over."""
-    feed, archive = both_sides(spark, sf)
-    first = linking.rank_links(materialize(linking.rank_blocks(feed, archive)))
+    feed, archive = (stage(df, "side") for df in both_sides(spark, sf))
+    first = linking.rank_links(stage(linking.judged(linking.rank_blocks(feed, archive)), "blocks"))
     left = joins.residual(feed, first, "source_match_key")
     right = joins.residual(archive, first, "canonical_match_key")
     parsed = linking.spelled(feed, archive)
-    links = linking.name_links(materialize(linking.name_groups(left, right, parsed=parsed)))
+    links = linking.name_links(stage(linking.name_groups(left, right, parsed=parsed), "groups"))
     return links.select(
         "source_match_key", "canonical_match_key", "data_quality_flag",
         "winner_rank_agrees", "loser_rank_agrees",
