@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from functools import cached_property, lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -26,8 +28,6 @@ from .common import column, slices
 MODEL = "byte_bpe_50k.json"
 MAX_KNOWN = 600_000
 MAX_FITS = 500_000
-TRIE_WORDS = 20_000
-END = -1
 NEVER = 1 << 60
 
 # The word pattern and the byte letters of byte-level BPE: fixed values of the format.
@@ -54,14 +54,63 @@ def _doubtful(text: str) -> bool:
     return bool(_unassigned()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)].any())
 
 
-def insert(trie: dict, word: bytes) -> None:
-    """Put a word into a trie: nested dictionaries by byte, the word itself at END."""
-    for byte in word:
-        below = trie.get(byte)
-        if below is None:
-            below = trie[byte] = {}
-        trie = below
-    trie[END] = word
+def shared(a: bytes, b: bytes) -> int:
+    """Length of the prefix that two words share."""
+    n = min(len(a), len(b))
+    if a[:n] == b[:n]:
+        return n
+    return next(i for i in range(n) if a[i] != b[i])
+
+
+class Endings:
+    """Which tokens end at a place, longest first, for places read byte by byte.
+
+    A state is the longest beginning of a token that ends at the place (Aho and Corasick, CACM
+    1975); ``longest`` has the longest token that ends in a state, ``shorter`` the next one.
+    """
+
+    def __init__(self, tokens: dict[bytes, int]) -> None:
+        self.next: dict[int, int] = {}
+        self.fall, self.longest, depth = [0], [-1], [0]
+        self.shorter: dict[int, int] = {}
+        for token, i in tokens.items():
+            state = 0
+            for byte in token:
+                below = self.next.get(state << 8 | byte)
+                if below is None:
+                    below = self.next[state << 8 | byte] = len(self.fall)
+                    self.fall.append(0)
+                    self.longest.append(-1)
+                    depth.append(depth[state] + 1)
+                state = below
+            self.longest[state] = i
+        for key, state in sorted(self.next.items(), key=lambda x: depth[x[1]]):
+            above, byte = key >> 8, key & 255
+            if above:
+                self.fall[state] = self.walk(self.fall[above], byte)
+            other = self.longest[self.fall[state]]
+            if self.longest[state] < 0:
+                self.longest[state] = other
+            else:
+                self.shorter[self.longest[state]] = other
+        self.met: dict[int, int] = {}
+
+    def walk(self, state: int, byte: int) -> int:
+        """The state after one more byte."""
+        while True:
+            found = self.next.get(state << 8 | byte)
+            if found is not None:
+                return found
+            if not state:
+                return 0
+            state = self.fall[state]
+
+    def step(self, state: int, byte: int) -> int:
+        """As ``walk``, remembered in ``met``."""
+        if len(self.met) > MAX_FITS:
+            self.met.clear()
+        found = self.met[state << 8 | byte] = self.walk(state, byte)
+        return found
 
 
 class Codec:
@@ -79,6 +128,8 @@ class Codec:
         self.library = Tokenizer.from_file(path)
         self.bytes_of = {i: bytes(letters[x] for x in token) for token, i in model["vocab"].items()}
         self.id_of = {b: i for i, b in self.bytes_of.items()}
+        if any(bytes([b]) not in self.id_of for b in range(256)):
+            raise ValueError("a token for every byte is needed")
         by_name = model["vocab"]
         pairs = [x if isinstance(x, list) else x.split(" ") for x in model["merges"]]
         self.pairs = [(by_name[left], by_name[right], by_name[left + right]) for left, right in pairs]
@@ -88,7 +139,7 @@ class Codec:
         names = sorted(self.special, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
         self.bytes_of |= {i: x.encode() for x, i in self.special.items()}
-        self.spines: dict[int, tuple[list, list] | None] = {}
+        self.spines: dict[int, tuple[list, list]] = {}
         self.fits: dict[int, bool] = {}
         size = max(self.bytes_of) + 1
         self.token_size = np.array([len(self.bytes_of.get(i, b"")) for i in range(size)], np.int64)
@@ -102,16 +153,9 @@ class Codec:
         return {(a, b): (rank, c) for rank, (a, b, c) in reversed(list(enumerate(self.pairs)))}
 
     @cached_property
-    def tails(self) -> dict:
-        """Trie of the reversed tokens that encode to themselves, the token at END."""
-        out: dict = {}
-        for token, i in self.id_of.items():
-            if self.spine(i):
-                node = out
-                for byte in reversed(token):
-                    node = node.setdefault(byte, {})
-                node[END] = i
-        return out
+    def endings(self) -> Endings:
+        """The tokens that encode to themselves."""
+        return Endings({token: i for token, i in self.id_of.items() if self.whole(i)})
 
     def forget(self) -> None:
         """Start the table of known segments anew: entry 0 is the line break."""
@@ -121,14 +165,8 @@ class Codec:
         self.size = np.zeros(0, np.int64)
         self.first = np.zeros(0, np.int64)
 
-    def spine(self, token: int) -> tuple[list, list] | None:
-        """Tokens along the left and the right edge while a token is built, each with its last rank.
-
-        An edge token lives until the merge that takes it in; the whole token lives for ever. None
-        for a token whose own bytes encode to something else.
-        """
-        if token in self.spines:
-            return self.spines[token]
+    def built(self, token: int) -> tuple[list, list, list]:
+        """Bytes of a token merged as far as they go, and what was at either edge with its last rank."""
         parts = [self.id_of[bytes([b])] for b in self.bytes_of[token]]
         left, right = [], []
         while len(parts) > 1:
@@ -141,8 +179,20 @@ class Codec:
             if at == len(parts) - 2:
                 right.append((parts[-1], rank))
             parts[at : at + 2] = [self.merges[parts[at], parts[at + 1]][1]]
-        whole = parts == [token]
-        self.spines[token] = (left + [(token, NEVER)], right + [(token, NEVER)]) if whole else None
+        return parts, left, right
+
+    def whole(self, token: int) -> bool:
+        """Whether a token's own bytes encode to it."""
+        return self.built(token)[0] == [token]
+
+    def spine(self, token: int) -> tuple[list, list]:
+        """Tokens along the left and the right edge while a token is built, each with its last rank.
+
+        An edge token lives until the merge that takes it in; the whole token lives for ever.
+        """
+        if token not in self.spines:
+            _, left, right = self.built(token)
+            self.spines[token] = left + [(token, NEVER)], right + [(token, NEVER)]
         return self.spines[token]
 
     def fit(self, first: int, second: int) -> bool:
@@ -152,56 +202,52 @@ class Codec:
         the one that takes in its left token and wins against the one that takes in its right.
         """
         merges = self.merges
-        for a, until in self.spines[first][1]:
-            for b, still in self.spines[second][0]:
+        for a, until in self.spine(first)[1]:
+            for b, still in self.spine(second)[0]:
                 merge = merges.get((a, b))
                 if merge and merge[0] < until and merge[0] <= still:
                     return False
         return True
 
-    def encode_trie(self, trie: dict, longest: int) -> Iterator[tuple[bytes, tuple[int, ...]]]:
+    def encode_trie(self, words: list[bytes]) -> Iterator[tuple[bytes, tuple[int, ...]]]:
         """Every word of a trie with its ids, depth first.
 
-        ``tokens[d]`` is the last token of the prefix of d bytes on the current path. The longest
-        token that ends the prefix and may follow the last token before it is the right one.
+        The trie is compressed: sorted words are its leaves in order, and what a word shares with
+        the one before it is the path down to the node where they part. So an unbranched chain
+        costs no nodes, and only the states on the current path are held: ``tokens[d]`` is the last
+        token of its prefix of d bytes. The longest token that ends the prefix and may follow the
+        last token before it is the right one.
         """
-        path, tokens, begins = bytearray(longest), [-1] * (longest + 1), [0] * (longest + 1)
-        tails, fits = self.tails, self.fits
-        stack = [(below, 1, byte) for byte, below in trie.items() if byte != END]
-        if END in trie:
-            yield b"", ()
-        while stack:
-            node, depth, byte = stack.pop()
-            path[depth - 1] = byte
-            ends, tail, start = [], tails, depth
-            while start:
-                start -= 1
-                tail = tail.get(path[start])
-                if tail is None:
-                    break
-                if END in tail:
-                    ends.append((start, tail[END]))
-            for start, token in reversed(ends):
-                if start:
-                    pair = tokens[start] << 32 | token
+        ends = self.endings
+        met, step, longest, shorter = ends.met, ends.step, ends.longest, ends.shorter
+        fits, size = self.fits, self.token_size.tolist()
+        room = max(map(len, words), default=0) + 1
+        tokens, states = array("i", bytes(4 * room)), array("i", bytes(4 * room))
+        before = b""
+        for word in words:
+            at = shared(before, word)
+            before, state = word, states[at]
+            for byte in word[at:]:
+                at += 1
+                state = states[at] = met.get(state << 8 | byte) or step(state, byte)
+                token = longest[state]
+                while size[token] < at:
+                    pair = tokens[at - size[token]] << 32 | token
                     known = fits.get(pair)
                     if known is None:
                         if len(fits) > MAX_FITS:
                             fits.clear()
-                        known = fits[pair] = self.fit(tokens[start], token)
-                    if not known:
-                        continue
-                tokens[depth], begins[depth] = token, start
-                break
-            for byte, below in node.items():
-                if byte != END:
-                    stack.append((below, depth + 1, byte))
-                    continue
-                ids, at = [], depth
-                while at:
-                    ids.append(tokens[at])
-                    at = begins[at]
-                yield below, tuple(reversed(ids))
+                        known = fits[pair] = self.fit(pair >> 32, token)
+                    if known:
+                        break
+                    token = shorter[token]
+                tokens[at] = token
+            ids = []
+            while at:
+                ids.append(tokens[at])
+                at -= size[tokens[at]]
+            ids.reverse()
+            yield word, tuple(ids)
 
     def words(self, text: str) -> list[str | int]:
         """Words of a text in order; an added token is its id."""
@@ -217,15 +263,11 @@ class Codec:
         return out
 
     def encode_words(self, words: set[str | int]) -> dict[str | int, tuple[int, ...]]:
-        """Ids of distinct words, by tries of a bounded number of words each."""
+        """Ids of distinct words, by one trie."""
         out: dict[str | int, tuple[int, ...]] = {x: (x,) for x in words if not isinstance(x, str)}
         plain = sorted(x.encode("utf-8", "surrogatepass") for x in words if isinstance(x, str))
-        for start in range(0, len(plain), TRIE_WORDS):
-            part, trie = plain[start : start + TRIE_WORDS], {}
-            for word in part:
-                insert(trie, word)
-            for word, ids in self.encode_trie(trie, max(map(len, part))):
-                out[word.decode("utf-8", "surrogatepass")] = ids
+        for word, ids in self.encode_trie(plain):
+            out[word.decode("utf-8", "surrogatepass")] = ids
         return out
 
     def learn(self, segments: set[str], spaced: set[str]) -> None:
@@ -239,15 +281,16 @@ class Codec:
         spaced = {x for x in spaced if x not in self.spaced}
         if len(self.size) + len(segments) + len(spaced) > MAX_KNOWN and len(self.size):
             raise KeyError("full")
-        split = [(self.known, x, self.words(x)) for x in segments]
-        split += [(self.spaced, x, self.words(" " + x)) for x in spaced]
+        # Letters alone are one word, with or without the space before them.
+        split = [(self.known, x, [x] if x.isalpha() else self.words(x)) for x in segments]
+        split += [(self.spaced, x, [" " + x] if x.isalpha() else self.words(" " + x)) for x in spaced]
         if not split:
             return
         ids = self.encode_words({word for _, _, words in split for word in words})
-        new = [[i for word in words for i in ids[word]] for _, _, words in split]
+        new = [ids[x[0]] if len(x) == 1 else [i for word in x for i in ids[word]] for _, _, x in split]
         for at, (table, segment, _) in enumerate(split, len(self.size)):
             table[segment] = at
-        self.flat = np.concatenate([self.flat, np.fromiter((i for x in new for i in x), np.int32)])
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(new), np.int32)])
         self.size = np.concatenate([self.size, np.fromiter(map(len, new), np.int64, len(new))])
         self.first = np.cumsum(self.size) - self.size
 

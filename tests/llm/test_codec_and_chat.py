@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import public_tokenizers
 import pytest
@@ -60,7 +61,6 @@ def test_any_text_like_the_library(text):
 def test_random_mixtures_and_a_full_table(library, monkeypatch):
     own = bpe.Codec(PATH)
     monkeypatch.setattr(bpe, "MAX_KNOWN", 50)
-    monkeypatch.setattr(bpe, "TRIE_WORDS", 7)
     rng = random.Random(3)
     bits = ["a", "b", "e", "the", "ing", " ", "  ", "\n", "\r\n", "'s", "é", "日", "<|endoftext|>", "1", "!", "\xa0", "\x1c", "​"]
     texts = ["".join(rng.choices(bits, k=rng.randint(0, 40))) for _ in range(800)]
@@ -73,6 +73,21 @@ def test_random_mixtures_and_a_full_table(library, monkeypatch):
         ]
 
 
+@pytest.mark.parametrize("kind", ["same letter", "letters", "signs"])
+def test_very_long_words_take_little_memory(kind, library):
+    rng = random.Random(8)
+    n = 400_000
+    word = {"same letter": "a" * n, "letters": "".join(rng.choices("abcdeinorst\u00e9\u65e5", k=n)), "signs": "-=" * (n // 2)}[kind]
+    own = bpe.codec(PATH)
+    own.encode(["warm up"])
+    tracemalloc.start()
+    got = own.encode([word])[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.tolist() == library.encode(word, add_special_tokens=False).ids
+    assert peak < 150 * len(word.encode())
+
+
 def test_ids_of_any_kind_decode(spark):
     rows = [([50256, 220, 99999, -4],), (None,), ([],), ([162],)]
     got = bpe.decode(spark.createDataFrame(rows, "ids array<int>")).collect()
