@@ -12,7 +12,6 @@ import unicodedata
 from array import array
 from collections.abc import Iterator
 from functools import cached_property, lru_cache
-from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -139,7 +138,6 @@ class Codec:
         names = sorted(self.special, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
         self.bytes_of |= {i: x.encode() for x, i in self.special.items()}
-        self.spines: dict[int, tuple[list, list]] = {}
         self.fits: dict[int, bool] = {}
         size = max(self.bytes_of) + 1
         self.token_size = np.array([len(self.bytes_of.get(i, b"")) for i in range(size)], np.int64)
@@ -148,14 +146,34 @@ class Codec:
         self.forget()
 
     @cached_property
-    def merges(self) -> dict[tuple[int, int], tuple[int, int]]:
-        """Rank and result of every merge; of a pair that is listed twice the first counts."""
-        return {(a, b): (rank, c) for rank, (a, b, c) in reversed(list(enumerate(self.pairs)))}
+    def merges(self) -> dict[int, tuple[int, int]]:
+        """Rank and result of every merge, by both tokens; of a pair that is listed twice the first counts."""
+        return {a << 32 | b: (rank, c) for rank, (a, b, c) in reversed(list(enumerate(self.pairs)))}
+
+    @cached_property
+    def made(self) -> dict[int, tuple[int, int, int]]:
+        """Last merge (left, right, rank) of every token of several bytes that encodes to itself.
+
+        If both parts do and nothing is merged across their border in time, so does the token;
+        others are merged byte by byte.
+        """
+        out: dict[int, tuple[int, int, int]] = {}
+        whole = {self.id_of[bytes([b])] for b in range(256)}
+        for rank, (a, b, c) in enumerate(self.pairs):
+            if c in whole:
+                continue
+            if a in whole and b in whole and self.fit(a, b, out, c):
+                out[c] = a, b, rank
+                whole.add(c)
+            elif last := self.built(c):
+                out[c] = last
+                whole.add(c)
+        return out
 
     @cached_property
     def endings(self) -> Endings:
         """The tokens that encode to themselves."""
-        return Endings({token: i for token, i in self.id_of.items() if self.whole(i)})
+        return Endings({token: i for token, i in self.id_of.items() if len(token) == 1 or i in self.made})
 
     def forget(self) -> None:
         """Start the table of known segments anew: entry 0 is the line break."""
@@ -165,52 +183,47 @@ class Codec:
         self.size = np.zeros(0, np.int64)
         self.first = np.zeros(0, np.int64)
 
-    def built(self, token: int) -> tuple[list, list, list]:
-        """Bytes of a token merged as far as they go, and what was at either edge with its last rank."""
-        parts = [self.id_of[bytes([b])] for b in self.bytes_of[token]]
-        left, right = [], []
+    def built(self, token: int) -> tuple[int, int, int] | None:
+        """Last merge (left, right, rank) of a token's own bytes, None if they encode to something else."""
+        parts, last = [self.id_of[bytes([b])] for b in self.bytes_of[token]], None
         while len(parts) > 1:
-            found = [(self.merges[p][0], i) for i, p in enumerate(zip(parts, parts[1:], strict=False)) if p in self.merges]
+            pairs = [x << 32 | y for x, y in zip(parts, parts[1:], strict=False)]
+            found = [(self.merges[p][0], i) for i, p in enumerate(pairs) if p in self.merges]
             if not found:
                 break
             rank, at = min(found)
-            if at == 0:
-                left.append((parts[0], rank))
-            if at == len(parts) - 2:
-                right.append((parts[-1], rank))
-            parts[at : at + 2] = [self.merges[parts[at], parts[at + 1]][1]]
-        return parts, left, right
-
-    def whole(self, token: int) -> bool:
-        """Whether a token's own bytes encode to it."""
-        return self.built(token)[0] == [token]
-
-    def spine(self, token: int) -> tuple[list, list]:
-        """Tokens along the left and the right edge while a token is built, each with its last rank.
+            last = parts[at], parts[at + 1], rank
+            parts[at : at + 2] = [self.merges[pairs[at]][1]]
+        return last if parts == [token] else None
 
-        An edge token lives until the merge that takes it in; the whole token lives for ever.
-        """
-        if token not in self.spines:
-            _, left, right = self.built(token)
-            self.spines[token] = left + [(token, NEVER)], right + [(token, NEVER)]
-        return self.spines[token]
-
-    def fit(self, first: int, second: int) -> bool:
+    def fit(self, first: int, second: int, made: dict[int, tuple[int, int, int]], allowed: int = -1) -> bool:
         """Whether two tokens may stand side by side: no merge across the border comes in time.
 
-        At equal ranks the leftmost merge goes first, so a merge across the border loses against
-        the one that takes in its left token and wins against the one that takes in its right.
+        Along its edges a token was made of ever smaller tokens, each of which lived until the rank
+        that took it in; the whole token lives for ever. At equal ranks the leftmost merge goes
+        first, so a merge across the border loses against the one that takes in its left token and
+        wins against the one that takes in its right. The merge that gives ``allowed`` of both
+        whole tokens doesn't count.
         """
         merges = self.merges
-        for a, until in self.spine(first)[1]:
-            for b, still in self.spine(second)[0]:
-                merge = merges.get((a, b))
-                if merge and merge[0] < until and merge[0] <= still:
+        a, until = first, NEVER
+        while True:
+            b, still = second, NEVER
+            while True:
+                merge = merges.get(a << 32 | b)
+                if merge and merge[0] < until and merge[0] <= still and not (
+                    merge[1] == allowed and a == first and b == second
+                ):
                     return False
-        return True
+                if b not in made:
+                    break
+                b, _, still = made[b]
+            if a not in made:
+                return True
+            _, a, until = made[a]
 
-    def encode_trie(self, words: list[bytes]) -> Iterator[tuple[bytes, tuple[int, ...]]]:
-        """Every word of a trie with its ids, depth first.
+    def encode_trie(self, words: list[bytes]) -> tuple[array, array]:
+        """Ids of the sorted words of a trie one after the other, and their number per word.
 
         The trie is compressed: sorted words are its leaves in order, and what a word shares with
         the one before it is the path down to the node where they part. So an unbranched chain
@@ -220,10 +233,10 @@ class Codec:
         """
         ends = self.endings
         met, step, longest, shorter = ends.met, ends.step, ends.longest, ends.shorter
-        fits, size = self.fits, self.token_size.tolist()
+        fits, made, size = self.fits, self.made, self.token_size.tolist()
         room = max(map(len, words), default=0) + 1
         tokens, states = array("i", bytes(4 * room)), array("i", bytes(4 * room))
-        before = b""
+        flat, sizes, before = array("i"), array("q"), b""
         for word in words:
             at = shared(before, word)
             before, state = word, states[at]
@@ -237,7 +250,7 @@ class Codec:
                     if known is None:
                         if len(fits) > MAX_FITS:
                             fits.clear()
-                        known = fits[pair] = self.fit(pair >> 32, token)
+                        known = fits[pair] = self.fit(pair >> 32, token, made)
                     if known:
                         break
                     token = shorter[token]
@@ -246,8 +259,9 @@ class Codec:
             while at:
                 ids.append(tokens[at])
                 at -= size[tokens[at]]
-            ids.reverse()
-            yield word, tuple(ids)
+            sizes.append(len(ids))
+            flat.extend(reversed(ids))
+        return flat, sizes
 
     def words(self, text: str) -> list[str | int]:
         """Words of a text in order; an added token is its id."""
@@ -262,14 +276,6 @@ class Codec:
                 out.extend(WORD.findall(part))
         return out
 
-    def encode_words(self, words: set[str | int]) -> dict[str | int, tuple[int, ...]]:
-        """Ids of distinct words, by one trie."""
-        out: dict[str | int, tuple[int, ...]] = {x: (x,) for x in words if not isinstance(x, str)}
-        plain = sorted(x.encode("utf-8", "surrogatepass") for x in words if isinstance(x, str))
-        for word, ids in self.encode_trie(plain):
-            out[word.decode("utf-8", "surrogatepass")] = ids
-        return out
-
     def learn(self, segments: set[str], spaced: set[str]) -> None:
         """Ids of segments not met before; those of ``spaced`` have a space before them.
 
@@ -277,21 +283,36 @@ class Codec:
         so the words of such a segment don't depend on its neighbours. The table starts anew when
         it is full, which changes no result.
         """
-        segments = {x for x in segments if x not in self.known}
-        spaced = {x for x in spaced if x not in self.spaced}
-        if len(self.size) + len(segments) + len(spaced) > MAX_KNOWN and len(self.size):
+        fresh = [(self.known, "", [x for x in segments if x not in self.known])]
+        fresh.append((self.spaced, " ", [x for x in spaced if x not in self.spaced]))
+        n = len(self.size)
+        if n and n + sum(len(x) for _, _, x in fresh) > MAX_KNOWN:
             raise KeyError("full")
         # Letters alone are one word, with or without the space before them.
-        split = [(self.known, x, [x] if x.isalpha() else self.words(x)) for x in segments]
-        split += [(self.spaced, x, [" " + x] if x.isalpha() else self.words(" " + x)) for x in spaced]
-        if not split:
-            return
-        ids = self.encode_words({word for _, _, words in split for word in words})
-        new = [ids[x[0]] if len(x) == 1 else [i for word in x for i in ids[word]] for _, _, x in split]
-        for at, (table, segment, _) in enumerate(split, len(self.size)):
-            table[segment] = at
-        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(new), np.int32)])
-        self.size = np.concatenate([self.size, np.fromiter(map(len, new), np.int64, len(new))])
+        alone = [(table, space, [x for x in new if x.isalpha()]) for table, space, new in fresh]
+        split = [(table, x, self.words(space + x)) for table, space, new in fresh for x in new if not x.isalpha()]
+        words = {space + x for _, space, new in alone for x in new}
+        words.update(word for _, _, parts in split for word in parts if isinstance(word, str))
+        ordered = sorted(words)  # code points are in the order of their bytes
+        flat, sizes = self.encode_trie([x.encode("utf-8", "surrogatepass") for x in ordered])
+        row = dict(zip(ordered, range(n, n + len(ordered)), strict=True))
+        for table, space, new in alone:
+            table.update((x, row[space + x]) for x in new)
+        first = np.cumsum(sizes, dtype=np.int64) - np.array(sizes, dtype=np.int64)
+        for table, segment, parts in split:
+            if len(parts) == 1 and isinstance(parts[0], str):
+                table[segment] = row[parts[0]]
+                continue
+            table[segment], before = n + len(sizes), len(flat)
+            for word in parts:
+                if isinstance(word, str):
+                    at = row[word] - n
+                    flat.extend(flat[first[at] : first[at] + sizes[at]])
+                else:
+                    flat.append(word)
+            sizes.append(len(flat) - before)
+        self.flat = np.concatenate([self.flat, np.asarray(flat, np.int32)])
+        self.size = np.concatenate([self.size, np.asarray(sizes, np.int64)])
         self.first = np.cumsum(self.size) - self.size
 
     def segments(self, text: str) -> list[tuple[str, list[str]]] | list[str]:
