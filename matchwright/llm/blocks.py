@@ -21,17 +21,22 @@ def n_blocks(rows: int, block_rows: int = BLOCK_ROWS) -> int:
 
 
 def in_blocks(vectors: DataFrame, number: Column, *keys: str) -> DataFrame:
-    """(keys, block, dim, ids, flat): rows with equal block number and dimension as one matrix.
+    """(keys, block, dim, ids, names, flat): rows with equal block number and dimension as one matrix.
 
-    ``vectors`` has id, vector (array of numbers) and the key columns. A block number is shared by
+    ``vectors`` has id, name, vector (array of numbers) and the key columns. A block number is shared by
     about BLOCK_ROWS rows, as the callers derive it from counts.
     """
     return (
         vectors.withColumn("block", number)
         .groupBy(*keys, "block", F.size("vector").alias("dim"))
-        .agg(F.collect_list(F.struct("id", "vector")).alias("rows"))
+        .agg(F.collect_list(F.struct("id", "name", "vector")).alias("rows"))
         .select(
-            *keys, "block", "dim", F.col("rows.id").alias("ids"), F.flatten(F.col("rows.vector")).alias("flat")
+            *keys,
+            "block",
+            "dim",
+            F.col("rows.id").alias("ids"),
+            F.col("rows.name").alias("names"),
+            F.flatten(F.col("rows.vector")).alias("flat"),
         )
     )
 

@@ -42,14 +42,14 @@ def odd_vectors(extra=()):
 
 
 def plain_top(rows, k):
-    v = {i: [math.floor(1024 * float(np.float32(x))) for x in e] for i, e, _ in rows if i is not None and is_usable(e)}
+    v = [(i, [math.floor(1024 * float(np.float32(x))) for x in e]) for i, e, _ in rows if i is not None and is_usable(e)]
     out = []
-    for q in v:
+    for n, (q, own) in enumerate(v):
         if q % 100 == 0:
             scored = [
-                (-sum(a * b for a, b in zip(v[q], v[i], strict=True)), i)
-                for i in v
-                if i != q and len(v[i]) == len(v[q])
+                (-sum(a * b for a, b in zip(own, other, strict=True)), i)
+                for m, (i, other) in enumerate(v)
+                if m != n and len(other) == len(own)
             ]
             out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(sorted(scored)[:k])]
     return sorted(out)
@@ -58,7 +58,8 @@ def plain_top(rows, k):
 @pytest.mark.parametrize("k,block", [(1, 2048), (10, 64), (500, 2048)])
 def test_top_k_against_brute_force(spark, k, block):
     rows = odd_vectors()
-    frame = spark.createDataFrame(rows, VECTORS).selectExpr("*", "1 as id", "'x' as score")
+    rows += [(100, rows[7][1], 2), (100, rows[100][1], 2), (3, rows[3][1], 2), (300, rows[5][1], 2)]
+    frame = spark.createDataFrame(rows, VECTORS).selectExpr("*", "1 as id", "'x' as score", "'y' as name")
     got = topk_search.top_k(frame, F.col("vec_id") % 100 == 0, k, block_rows=block)
     assert sorted(tuple(r) for r in got.collect()) == plain_top(rows, k)
 
@@ -68,7 +69,10 @@ def test_top_k_small_and_empty(spark):
     assert topk_search.top_k(frame, F.col("vec_id") % 100 == 0).collect() == []
     assert topk_search.top_k(frame.where("false"), F.col("vec_id") % 100 == 0).collect() == []
     two = spark.createDataFrame([(100, [1.0], 0), (3, [2.0], 0), (3, [2.0], 0)], VECTORS)
-    assert [tuple(r) for r in topk_search.top_k(two, F.col("vec_id") % 100 == 0).collect()] == [(100, 1, 3, 1024 * 2048)]
+    assert [tuple(r) for r in topk_search.top_k(two, F.col("vec_id") % 100 == 0).collect()] == [
+        (100, 1, 3, 1024 * 2048),
+        (100, 2, 3, 1024 * 2048),
+    ]
 
 
 def plain_near(rows, threshold):
