@@ -219,16 +219,57 @@ def test_pigeonhole_masks_cover_every_difference():
 
 
 def plain_best_fit(lengths, capacities, cost):
-    bins = []
-    for n in lengths:
-        fits = [b for b in bins if b[0] - sum(b[1]) >= n]
-        if fits:
-            best = min(fits, key=lambda b: b[0] - sum(b[1]))
-        else:
-            best = [min((c for c in capacities if c >= n), key=lambda c: (cost(c) / c, -c)), []]
-            bins.append(best)
-        best[1].append(n)
-    return [(min((c for c in capacities if c >= sum(b[1])), key=lambda c: (cost(c), c)), b[1]) for b in bins]
+    """The cheapest of the packings by what is still to come and by one opening size each."""
+
+    def cheapest(bins):
+        return [(min((c for c in capacities if c >= sum(b)), key=lambda c: (cost(c), c)), b) for _, b in bins]
+
+    def by_filling(i, size):
+        room = size - lengths[i]
+        for n in lengths[i + 1 :]:
+            room -= n if n <= room else 0
+        return min(cost(c) for c in capacities if c >= size - room) / (size - room), -size
+
+    found = []
+    for opening in (None, *capacities):
+        bins = []
+        for i, n in enumerate(lengths):
+            fits = [b for b in bins if b[0] - sum(b[1]) >= n]
+            if fits:
+                best = min(fits, key=lambda b: b[0] - sum(b[1]))
+            else:
+                able = [c for c in capacities if c >= n]
+                if opening is None:
+                    size = min(able, key=lambda c: by_filling(i, c))
+                else:
+                    size = opening if opening >= n else able[0]
+                best = [size, []]
+                bins.append(best)
+            best[1].append(n)
+        found.append(cheapest(bins))
+    return min(found, key=lambda x: sum(cost(c) for c, _ in x))
+
+
+def test_sizes_are_opened_by_what_is_to_come():
+    cost = packing.sequence_cost
+    lengths = np.array([500, 500, 500, 12, 12, 12], dtype=np.int64)
+    bins, _, final = packing.best_fit(lengths)
+    assert sum(map(cost, final)) <= min(sum(map(cost, packing.place(lengths, packing.CAPACITIES, cost, c)[2])) for c in packing.CAPACITIES)
+    rng = np.random.default_rng(3)
+    lengths = np.sort(rng.integers(1, 4097, 3000))[::-1].copy()
+    opened = packing.place(lengths, packing.CAPACITIES, cost)
+    totals = [sum(map(cost, packing.place(lengths, packing.CAPACITIES, cost, c)[2])) for c in packing.CAPACITIES]
+    assert len(set(opened[2])) > 1
+    assert sum(map(cost, packing.best_fit(lengths)[2])) <= min(totals)
+
+
+def test_bins_stay_when_partitions_change(spark):
+    docs = read(spark, SF, "documents").select("doc_id", "text")
+    docs = docs.unionByName(docs.where("doc_id % 3 = 0")).unionByName(docs.selectExpr("cast(null as bigint)", "text").toDF("doc_id", "text"))
+    one, other = (
+        sorted(tuple(r) for r in packing.pack(docs.repartition(n), shard_rows=100).na.fill(-1).collect()) for n in (2, 5)
+    )
+    assert one == other and len(one) >= docs.count() - 10
 
 
 @settings(max_examples=150, deadline=None)
