@@ -255,9 +255,15 @@ def full_names(archive: DataFrame) -> DataFrame:
     )
 
 
+def known_readings(full: DataFrame, short: DataFrame) -> DataFrame:
+    """The readings whose surname some short name has; no other can fit."""
+    return full.join(short.select("family").distinct(), "family", "left_semi").select(*full.columns)
+
+
 def spelled(feed: DataFrame, archive: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Both name tables, parsed and staged once; they grow with the people, not the records."""
-    return stage(short_names(feed), "short-names"), stage(full_names(archive), "full-names")
+    short = stage(short_names(feed), "short-names")
+    return short, stage(known_readings(full_names(archive), short), "full-names")
 
 
 def _with_names(df: DataFrame, table: DataFrame, value: str) -> DataFrame:
@@ -369,8 +375,8 @@ def name_pairs(feed: DataFrame, archive: DataFrame, block: tuple[str, ...] = BLO
     keys = [*block, "round", *_NAMES]
     left = feed.dropna(subset=[block[-1], *_NAMES]).select("source_match_key", *keys)
     right = archive.dropna(subset=[block[-1], *_NAMES]).select("canonical_match_key", *keys)
-    left = _with_names(left, short_names(left), "letters")
-    right = _with_names(right, full_names(right), "given")
+    short, full = spelled(left, right)
+    left, right = _with_names(left, short, "letters"), _with_names(right, full, "given")
     return _fitting(left, right, block).select(
         *[F.col(f"u.{c}") for c in (*block, "round")], "source_match_key", "canonical_match_key"
     )
@@ -525,11 +531,8 @@ def _name_groups(feed: DataFrame, archive: DataFrame, block: tuple[str, ...]) ->
         df.dropna(subset=known).withColumn("evidence", _evidence(["round", *_NAMES])) for df in (feed, archive)
     )
     spelled_left, spelled_right = (df.select(*keys, "evidence").distinct() for df in (left, right))
-    fits = _fitting(
-        _with_names(spelled_left, short_names(spelled_left), "letters"),
-        _with_names(spelled_right, full_names(spelled_right), "given"),
-        block,
-    )
+    short, full = spelled(spelled_left, spelled_right)
+    fits = _fitting(_with_names(spelled_left, short, "letters"), _with_names(spelled_right, full, "given"), block)
     links = fits.select(
         *[F.col(f"u.{c}") for c in block], F.col("u.evidence").alias("feed_evidence"), F.col("k.evidence").alias("archive_evidence")
     )
