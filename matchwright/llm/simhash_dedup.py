@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .common import slices, staged, texts
 from .components import connected_components
-from .line_dedup import FEW, band_keys, in_buckets
+from .line_dedup import FEW, band_keys, in_buckets, rest_pairs
 
 SEED = 42
 SHINGLE = 3
@@ -141,18 +141,33 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
     return np.unique(np.array([digest(b" ".join(parts[i : i + words]), SEED) for i in range(n)], dtype=np.uint64))
 
 
-def near_copies(docs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """(doc_id, component_id): one row per input row; linked are texts of that Jaccard over word shingles.
+def print_links(prints: DataFrame, distance: int) -> DataFrame:
+    """(a, b): ids linked by SimHash, from (id, fp) rows; the least id of a fingerprint stands for it."""
+    own = prints.groupBy("fp").agg(F.min("id").alias("least"))
+    same = prints.select("id", "fp").distinct().join(own, "fp").where("id <> least")
+    near = links(own.select("fp"), distance)
+    near = near.join(own.select(F.col("fp").alias("a"), F.col("least").alias("x")), "a")
+    near = near.join(own.select(F.col("fp").alias("b"), F.col("least").alias("y")), "b").where("x <> y")
+    return same.select(F.col("least").alias("a"), F.col("id").alias("b")).unionByName(
+        near.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    )
+
 
-    Texts that agree on two minima of one of BANDS bands meet; buckets of more than FEW are split by
-    further minima of the band, and what then is left of more than FEW is compared with the
-    bucket's least member and the next ones in the orders of two hashes. Pairs that meet are verified by the
-    exact coefficient. Texts of equal shingles are one node, blank and null ones too.
+def near_copies(docs: DataFrame, words: int, similarity: float, distance: int = 2) -> DataFrame:
+    """(doc_id, component_id): one row per input row.
+
+    Linked are texts whose SimHash differs in at most ``distance`` bits, as in ``near_duplicates``,
+    and texts of that Jaccard over shingles of ``words`` words. For the latter, texts that agree on
+    two minima of one of BANDS bands meet. Where more than FEW do, those that agree on further
+    minima are compared first (more than FEW of these with the least member and the next ones in
+    the orders of two hashes), and then all pairs that no group holds yet. Pairs that meet are
+    verified by the exact coefficient. Texts of equal shingles are one node, blank and null ones too.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 64):
             sets = [shingle_set(x, words) for x in texts(batch)]
+            fps = np.array([fingerprint(x) for x in texts(batch)], dtype=np.uint64).view(np.int64)
             node = [xxhash.xxh3_64_intdigest(x.tobytes()) for x in sets]
             keys = np.zeros((len(sets), BANDS), dtype=np.int64)
             full = np.array([len(x) > 0 for x in sets], dtype=bool)
@@ -162,7 +177,8 @@ def near_copies(docs: DataFrame, words: int, similarity: float) -> DataFrame:
             lists = [k.tolist() if f else [] for k, f in zip(keys, full, strict=True)]
             marks = [batch.column(0), batch.column(1), pa.array(np.array(node, dtype=np.uint64).view(np.int64))]
             yield pa.RecordBatch.from_arrays(
-                [*marks, pa.array(lists, pa.list_(pa.int64()))], names=["doc_id", "text_hash", "id", "keys"]
+                [*marks, pa.array(fps), pa.array([len(x) for x in sets], pa.int32()), pa.array(lists, pa.list_(pa.int64()))],
+                names=["doc_id", "text_hash", "id", "fp", "n", "keys"],
             )
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,13 +189,15 @@ def near_copies(docs: DataFrame, words: int, similarity: float) -> DataFrame:
             )
 
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    prints = staged(source.mapInArrow(run, "doc_id bigint, text_hash bigint, id bigint, keys array<bigint>"), "shingles")
+    schema = "doc_id bigint, text_hash bigint, id bigint, fp bigint, n int, keys array<bigint>"
+    prints = staged(source.mapInArrow(run, schema), "shingles")
     nodes = prints.groupBy("id").agg(
-        F.min(F.struct("doc_id", "text_hash")).alias("place"), F.first("keys").alias("keys")
+        F.min(F.struct("doc_id", "text_hash")).alias("place"), F.first("n").alias("n"), F.first("keys").alias("keys")
     )
-    nodes = staged(nodes.select("id", "place.*", "keys"), "shingle-nodes")
-    met = staged(in_buckets(nodes.select("id", F.explode("keys").alias("bits"))).select("key", "id", "size"), "shingle-buckets")
-    few, many = met.where(F.col("size") <= FEW), met.where(F.col("size") > FEW)
+    nodes = staged(nodes.select("id", "place.*", "n", "keys"), "shingle-nodes")
+    met = in_buckets(nodes.select("id", "n", F.explode("keys").alias("bits")))
+    met = staged(met.select("top", "tops", "key", "id", "n", "size"), "shingle-buckets")
+    few, many = met.where(F.col("size").between(2, FEW)), met.where(F.col("size") > FEW)
     pairs = [few.join(few.select("key", F.col("id").alias("other")), "key").select("id", "other")]
     pairs.append(many.select("id", F.min("id").over(Window.partitionBy("key")).alias("other")))
     for order in (F.col("id"), F.xxhash64("id")):
@@ -189,19 +207,32 @@ def near_copies(docs: DataFrame, words: int, similarity: float) -> DataFrame:
     for more in pairs[1:]:
         every = every.unionByName(more)
     every = every.where("id <> other").select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
-    every = staged(every.distinct(), "shingle-pairs")
-    wanted = every.select(F.col("a").alias("id")).unionByName(every.select(F.col("b").alias("id"))).distinct()
-    places = nodes.join(wanted, "id").select("id", "doc_id", "text_hash")
-    held = source.join(places, ["doc_id", "text_hash"]).select("id", "text").mapInArrow(
-        sets_of, "id bigint, shingles array<bigint>"
-    )
-    held = staged(held.dropDuplicates(["id"]), "shingle-sets")
-    both = every.join(held.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(
-        held.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b"
-    )
-    both = both.withColumn("common", F.size(F.array_intersect("x", "y")))
-    reached = F.col("common") >= similarity * (F.size("x") + F.size("y") - F.col("common")) - 1e-9
-    roots = connected_components(both.where(reached).select("a", "b"))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+        places = nodes.join(wanted, "id").select("id", "doc_id", "text_hash")
+        held = source.join(places, ["doc_id", "text_hash"]).select("id", "text").mapInArrow(
+            sets_of, "id bigint, shingles array<bigint>"
+        )
+        held = staged(held.dropDuplicates(["id"]), "shingle-sets")
+        both = pairs.join(held.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(
+            held.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b"
+        )
+        both = both.withColumn("common", F.size(F.array_intersect("x", "y")))
+        reached = F.col("common") >= similarity * (F.size("x") + F.size("y") - F.col("common")) - 1e-9
+        return both.where(reached).select("a", "b")
+
+    first = verified(staged(every.distinct(), "shingle-pairs")).unionByName(print_links(prints, distance))
+    first = staged(first, "shingle-links")
+    crowded = met.where(F.col("tops") > FEW).select("top", "id", "n")
+    if crowded.isEmpty():
+        roots = connected_components(first)
+    else:
+        groups = staged(connected_components(first), "shingle-groups")
+        label = groups.select(F.col("node").alias("id"), "root")
+        labelled = crowded.join(label, "id", "left").withColumn("root", F.coalesce("root", "id"))
+        rest = staged(rest_pairs(labelled, similarity), "shingle-rest")
+        roots = connected_components(first.unionByName(verified(rest)))
     labelled = nodes.join(roots, nodes.id == roots.node, "left").select("id", "doc_id", F.coalesce("root", "id").alias("root"))
     least = labelled.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     classes = labelled.join(least, "root").select("id", "component_id")
@@ -213,7 +244,8 @@ def keep_representatives(
 ) -> DataFrame:
     """One document of each group: the one with the least doc_id; columns unchanged.
 
-    Groups are those of ``near_copies`` if a similarity is given, else of ``near_duplicates``.
+    Groups are those of ``near_copies`` if a similarity is given, which also links by SimHash, else
+    of ``near_duplicates``.
     Where that id is repeated, rows of equal text stay once and other texts stay too. Rows without
     an id can't stand for a group and are kept.
     """
@@ -221,7 +253,7 @@ def keep_representatives(
     if similarity is None:
         groups = near_duplicates(own, distance, words=words)
     else:
-        groups = near_copies(own, words, similarity)
+        groups = near_copies(own, words, similarity, distance)
     counted = groups.groupBy("doc_id").agg(
         F.count("*").alias("rows of it"), F.max(F.col("doc_id") == F.col("component_id")).alias("stands")
     )
