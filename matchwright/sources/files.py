@@ -6,6 +6,7 @@ import csv
 from collections.abc import Iterable, Mapping
 from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,14 @@ RAGGED = "_ragged"
 _QUOTED = r'(?<=^|,)"(?:[^"\\]|\\.)*"'
 
 
+def file_table(spark: SparkSession, columns: Mapping[str, tuple[pa.DataType, list]]) -> DataFrame:
+    """A small table about files, one row each: its size is known, so Spark sees what it may broadcast.
+
+    Lines that met a table of unknown size would be shuffled by their file, all lines of one to one task.
+    """
+    return spark.createDataFrame(pa.table({name: pa.array(values, kind) for name, (kind, values) in columns.items()}))
+
+
 def headers_of(spark: SparkSession, paths: Iterable[str]) -> dict[str, tuple[str, ...]]:
     """Header of every file below ``paths`` (files, or folders of parts), read by one job.
 
@@ -59,25 +68,35 @@ def read_text_csv(
     width = max(map(len, kinds))
     places = [[header.index(c) if c in header else -1 for c in names] for header in kinds]
     number = {header: i for i, header in enumerate(kinds)}
-    of_file = spark.createDataFrame(
-        [(file, number[header], len(header)) for file, header in known.items()], "_file string, _kind int, _width int"
+    of_file = file_table(
+        spark,
+        {
+            "_file": (pa.string(), list(known)),
+            "_kind": (pa.int32(), [number[header] for header in known.values()]),
+            "_width": (pa.int32(), [len(header) for header in known.values()]),
+        },
     )
     lines = spark.read.text([unquote(file) for file in known]).select(
         "value", F.col("_metadata.file_path").alias("_file")
     )
     schema = StructType([StructField(f"f{i}", StringType()) for i in range(width)])
     parsed = F.from_csv("value", schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "))
-    bare = F.regexp_replace("value", _QUOTED, "")
+    bare = F.when(F.contains("value", F.lit('"')), F.regexp_replace("value", _QUOTED, "")).otherwise(F.col("value"))
     fields = 1 + F.length(bare) - F.length(F.replace(bare, F.lit(",")))
+    # The fields leave generators, so that neither filters nor columns parse the line again.
     split = (
         lines.where(F.trim("value") != "")
         .join(of_file, "_file")
-        .withColumns({"_f": parsed, "_n": fields})
-        .withColumn("_f", F.array(*[F.col(f"_f.f{i}") for i in range(width)]))
-    )
+        .select("value", "_file", "_kind", "_width", F.explode(F.array(F.struct(parsed.alias("f"), fields.alias("n")))).alias("_l"))
+        .select(
+            "value", "_file", "_kind", "_width", F.col("_l.n").alias("_n"),
+            F.explode(F.array(F.array(*[F.col(f"_l.f.f{i}") for i in range(width)]))).alias("_f"),
+        )
+    )
     heads = F.array(*[F.array(*[F.lit(c) for c in header]) for header in kinds])
     own = F.slice(F.col("_f"), 1, F.col("_width"))
-    is_header = (F.col("_n") == F.col("_width")) & (own == F.element_at(heads, F.col("_kind") + 1))
+    begins = F.get("_f", F.lit(0)).eqNullSafe(F.element_at(F.array(*[F.lit(header[0]) for header in kinds]), F.col("_kind") + 1))
+    is_header = begins & (F.col("_n") == F.col("_width")) & (own == F.element_at(heads, F.col("_kind") + 1))
     at = F.element_at(F.array(*[F.array(*[F.lit(x) for x in row]) for row in places]), F.col("_kind") + 1)
     routed = split.where(~F.coalesce(is_header, F.lit(False))).withColumn("_at", at)
     return routed.select(
