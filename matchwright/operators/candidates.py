@@ -28,11 +28,14 @@ from pyspark.sql import functions as F
 
 from ..functions import gestalt, similarity
 from ..functions.text import normalize_title
+from ..session import stage
 
 NAME_WEIGHT, DATE_WEIGHT, SURFACE_WEIGHT = 0.5, 0.4, 0.1
 FLOOR = 0.5
 MAX_DAYS = 10
 TILE = 256
+# Ids in one list of equal events.
+MEMBERS = 1024
 PAIRS_AT_ONCE = 1 << 18
 BINS = 32
 _SLACK = 1e-9
@@ -355,9 +358,65 @@ def candidates(
     """Every pair of a block whose score reaches ``floor``: block, l_id, r_id, score.
 
     A missing name is an empty one; ids count once, whatever the number of their rows.
+
+    Events of one block that are equal but for their id are scored as one, and their pairs are
+    unnested from lists of ids at the end. So pairs of events are rows of the result only: they cross
+    no exchange, unless one of their ids has several different rows.
     """
-    l, r = prepared(left, left_side, block), prepared(right, right_side, block)
-    return _met(l, r, block, Rule(floor, max_days), None).drop("l_more", "r_more")
+    l, r = (
+        stage(_alike(prepared(df, side, block), block), "alike-events")
+        for df, side in ((left, left_side), (right, right_side))
+    )
+    kinds = [events.select(*block, _kind_event().alias("event")).distinct() for events in (l, r)]
+    found = stage(_met(*kinds, block, Rule(floor, max_days), None), "kind-pairs")
+    found = found.select(*block, F.col("l_id").alias("l_kind"), F.col("r_id").alias("r_kind"), "score")
+    for side, events in (("l", l), ("r", r)):
+        found = found.join(_members(events, block, side), [*block, f"{side}_kind"])
+    parts = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = found.repartition(parts, F.xxhash64("l_ids", "r_ids"))
+
+    def unnested(rows: DataFrame) -> DataFrame:
+        rows = rows.select(*block, F.explode("l_ids").alias("l_id"), "r_ids", "score")
+        return rows.select(*block, "l_id", F.explode("r_ids").alias("r_id"), "score")
+
+    several = unnested(found.where("l_several or r_several"))
+    several = several.groupBy(*block, "l_id", "r_id").agg(F.max("score").alias("score"))
+    return unnested(found.where("not l_several and not r_several")).unionByName(several)
+
+
+def _alike(events: DataFrame, block: list[str]) -> DataFrame:
+    """(block, id, kind, event, several): different rows; equal but for the id is one kind.
+
+    ``several`` says that the id has rows of more than one kind in its block.
+    """
+    kind = F.to_json(F.struct("event.day", "event.surface", "event.names"))
+    rows = events.withColumn("kind", kind).select(*block, F.col("event.id").alias("id"), "kind", "event").distinct()
+    twice = rows.groupBy(*block, "id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    twice = twice.select(*[F.col(c).alias(f"_b_{c}") for c in block], F.col("id").alias("_id"))
+    same = F.col("id").eqNullSafe(F.col("_id"))
+    for c in block:
+        same = same & (F.col(c) == F.col(f"_b_{c}"))
+    joined = rows.join(twice.withColumn("_twice", F.lit(True)), same, "left")
+    return joined.select(*block, "id", "kind", "event", F.col("_twice").isNotNull().alias("several"))
+
+
+def _kind_event() -> Column:
+    """An event that stands for all of its kind."""
+    fields = [F.col(f"event.{c}").alias(c) for c in ("day", "surface", "names")]
+    return F.struct(F.col("kind").alias("id"), F.col("kind").alias("text"), *fields)
+
+
+def _members(events: DataFrame, block: list[str], side: str) -> DataFrame:
+    """Ids of every kind as lists of about MEMBERS, those with several rows in lists of their own."""
+    keys = [*block, "kind", "several"]
+    sizes = events.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > MEMBERS)
+    part = F.pmod(F.xxhash64("id"), F.coalesce(F.ceil(F.col("_n") / MEMBERS), F.lit(1)))
+    lists = events.join(sizes, keys, "left").withColumn("_part", part).groupBy(*keys, "_part")
+    # Null is an id like any other here, but no list holds a null of itself.
+    ids = F.transform(F.collect_list(F.struct("id")), lambda x: x["id"])
+    return lists.agg(ids.alias(f"{side}_ids")).select(
+        *block, F.col("kind").alias(f"{side}_kind"), F.col("several").alias(f"{side}_several"), f"{side}_ids"
+    )
 
 
 def tie(l_id: Column, r_id: Column) -> Column:
