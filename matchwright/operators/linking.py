@@ -394,20 +394,26 @@ def _due(manual: DataFrame, feed: DataFrame, block: tuple[str, ...] = BLOCK) ->
 def manual_problems(
     manual: DataFrame, feed: DataFrame, archive: DataFrame, block: tuple[str, ...] = BLOCK
 ) -> DataFrame:
-    """Manual links that name an unknown record or name one twice; empty when all is well."""
+    """Manual links that name an unknown record or name one twice; empty when all is well.
+
+    Named and known keys are counted by one aggregate for each side, so no task sorts both of them
+    for a join. A key with a null part names no record.
+    """
     due = _due(manual, feed, block)
+    twice, unknown = F.col("_named") > 1, (F.col("_named") > 0) & (F.col("_known") == 0)
+    problem = F.array_compact(F.array(F.when(twice, "named twice"), F.when(unknown, "unknown")))
     out = None
     for column, known in (("source_match_key", feed), ("canonical_match_key", archive)):
         keys = [*scope_of(block, manual, known), column]
-        twice = due.groupBy(*keys).count().where("count > 1")
-        unknown = due.select(*keys).distinct().join(known.select(*keys), keys, "left_anti")
-        for rows, problem in ((twice, "named twice"), (unknown, "unknown")):
-            part = rows.select(
-                F.lit(column).alias("column"),
-                F.col(column).alias("match_key"),
-                F.lit(problem).alias("problem"),
-            )
-            out = part if out is None else out.unionByName(part)
+        named = due.select(*keys, F.lit(1).alias("_named"), F.lit(0).alias("_known"))
+        there = known.select(*keys, F.lit(0).alias("_named"), F.lit(1).alias("_known")).dropna(subset=keys)
+        counted = named.unionByName(there).groupBy(*keys).agg(
+            F.sum("_named").alias("_named"), F.max("_known").alias("_known")
+        )
+        part = counted.where(twice | unknown).select(
+            F.lit(column).alias("column"), F.col(column).alias("match_key"), F.explode(problem).alias("problem")
+        )
+        out = part if out is None else out.unionByName(part)
     return out
 
 
