@@ -13,6 +13,8 @@ from difflib import SequenceMatcher
 import numpy as np
 
 CELLS = 1 << 16
+# Pairs that are matched at once.
+AT_ONCE = 1 << 15
 # Run lengths and places share 16 bits; and from this length of the right text on, difflib leaves
 # out frequent characters. Longer texts are given to difflib itself.
 PLAIN_LENGTH = 200
@@ -86,7 +88,10 @@ def _matched(left: list[str], right: list[str]) -> tuple[np.ndarray, np.ndarray]
 
 
 def ratios(left: list[str], right: list[str]) -> np.ndarray:
-    """Twice the matched characters by all characters; 1 for two empty texts. The order matters."""
+    """Twice the matched characters by all characters; 1 for two empty texts. The order matters.
+
+    Pairs are matched in parts, so memory does not grow with their number but by the result.
+    """
     out = np.ones(len(left))
     open_, long = [], []
     for i, (a, b) in enumerate(zip(left, right, strict=True)):
@@ -94,7 +99,8 @@ def ratios(left: list[str], right: list[str]) -> np.ndarray:
             (long if max(len(a), len(b)) >= PLAIN_LENGTH else open_).append(i)
     for i in long:
         out[i] = SequenceMatcher(None, left[i], right[i]).ratio()
-    if open_:
-        matched, total = _matched([left[i] for i in open_], [right[i] for i in open_])
-        out[open_] = 2.0 * matched / total
+    for start in range(0, len(open_), AT_ONCE):
+        part = open_[start : start + AT_ONCE]
+        matched, total = _matched([left[i] for i in part], [right[i] for i in part])
+        out[part] = 2.0 * matched / total
     return out
