@@ -89,6 +89,18 @@ def clean_rules(
     return {**rules, **{f"{o}_below_1": c(o) < 1 for o in odds}}
 
 
+def _beyond_first(df: DataFrame, by: list[str], key: str, out: str) -> DataFrame:
+    """Rows beyond the first of their key, summed within ``by``.
+
+    Nearly all keys differ, so a task that counted them where they are read would hold its whole
+    split beside what the steps before it sort. They are rebalanced by a hash first, which adaptive
+    execution keeps small, also where one key has very many rows.
+    """
+    dealt = df.select(*by, key, F.xxhash64(*by, key).alias("_deal")).hint("rebalance", F.col("_deal"))
+    counted = dealt.groupBy(*by, key).agg((F.count("*") - 1).alias("_extra"))
+    return counted.groupBy(*by).agg(F.sum("_extra").alias(out))
+
+
 def violations(
     df: DataFrame,
     rules: Mapping[str, Column],
@@ -103,13 +115,7 @@ def violations(
     counts = df.groupBy(*by).agg(*[F.count_if(rule).alias(n) for n, rule in rules.items()])
     names = list(rules)
     if key:
-        repeated = (
-            df.groupBy(*by, key)
-            .agg((F.count("*") - 1).alias("_extra"))
-            .groupBy(*by)
-            .agg(F.sum("_extra").alias("duplicate_key"))
-        )
-        counts = counts.join(repeated, by)
+        counts = counts.join(_beyond_first(df, by, key, "duplicate_key"), by)
         names.append("duplicate_key")
     return counts.unpivot(by, names, "rule", "rows").where("rows > 0")
 
@@ -164,13 +170,8 @@ def quality_report(
         .agg(total.cast("double").alias("value"))
         .select(*by, F.concat(F.lit("status_count_"), "_s").alias("metric"), "value")
     )
-    repeated = (
-        df.groupBy(*by, key)
-        .agg((total - 1).alias("_extra"))
-        .groupBy(*by)
-        .agg(F.sum("_extra").cast("double").alias("value"))
-        .select(*by, F.lit("duplicate_match_keys").alias("metric"), "value")
-    )
+    extra = F.col("extra").cast("double").alias("value")
+    repeated = _beyond_first(df, by, key, "extra").select(*by, F.lit("duplicate_match_keys").alias("metric"), extra)
     return long.unionByName(statuses).unionByName(repeated)
 
 
@@ -237,12 +238,7 @@ def measure(
         *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"missing_{c}") for c in columns],
         F.count_if((F.col(status) == completed) & gap).alias("gaps"),
     )
-    repeated = (
-        df.groupBy(*by, key)
-        .agg((F.count("*") - 1).alias("extra"))
-        .groupBy(*by)
-        .agg(F.sum("extra").alias("extra"))
-    )
+    repeated = _beyond_first(df, by, key, "extra")
     return Measures(by, list(rules), columns, stage(counts, "measures"), stage(repeated, "repeated-keys"))
 
 
