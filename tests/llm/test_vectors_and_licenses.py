@@ -168,3 +168,29 @@ def test_size_bounds_lose_nothing():
         low, high = licenses.size_bounds(n, 0.8)
         for m in range(1, 200):
             assert (2 * min(m, n) / (m + n) >= 0.8) == (low <= m <= high)
+
+
+def test_top_k_needs_few_rounds(spark, monkeypatch):
+    """The k-th scores of the blocks bound the search, so one histogram is enough."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(1500, 12))
+    rows = [(i, v) for i, v in enumerate((x / np.linalg.norm(x, axis=1, keepdims=True)).tolist())]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    states = []
+
+    def counted(df):
+        states.append(df)
+        return materialize(df)
+
+    materialize = topk_search.materialize
+    monkeypatch.setattr(topk_search, "materialize", counted)
+    counted_top = topk_search.top_k(frame, F.col("vec_id") % 100 == 0, 10, block_rows=512)
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in counted_top.collect())
+    q = np.floor(np.array([v for _, v in rows]) * 1024).astype(np.int64)
+    want = []
+    for i in range(0, 1500, 100):
+        s = q @ q[i]
+        order = [j for j in np.lexsort((np.arange(1500), -s)) if j != i][:10]
+        want += [(i, n, int(j), int(s[j])) for n, j in enumerate(order, 1)]
+    assert got == sorted(want)
+    assert len(states) == 2
