@@ -20,6 +20,9 @@ from .common import column, staged
 from .components import connected_components
 
 TILE = 2048
+# Tiles go to at most about so many groups, unless the vectors of a group would take more bytes.
+GROUPS = 64
+HELD_BYTES = 1 << 26
 STRIP = 256
 STRIPS = 256
 SLACK = 1e-9
@@ -39,11 +42,12 @@ def stages(dim: int) -> list[int]:
 class Tile:
     """Vectors of one tile: rotated unit vectors in PCA order, suffix norms, original directions."""
 
-    def __init__(self, ids: np.ndarray, raw: np.ndarray, turn: np.ndarray) -> None:
+    def __init__(self, ids: np.ndarray, copies: np.ndarray, raw: np.ndarray, turn: np.ndarray) -> None:
         norms = np.sqrt(np.einsum("ij,ij->i", raw, raw))
         unit = (raw / norms[:, None]) @ turn
         order = np.argsort(unit[:, 0], kind="stable")
-        self.ids, self.raw, self.norms, self.unit = ids[order], raw[order], norms[order], unit[order]
+        self.ids, self.copies = ids[order], copies[order].astype(np.int64)
+        self.raw, self.norms, self.unit = raw[order], norms[order], unit[order]
         squares = np.cumsum((self.unit**2)[:, ::-1], axis=1)[:, ::-1]
         self.suffix = np.sqrt(np.hstack([squares, np.zeros((len(squares), 1))]))
 
@@ -100,6 +104,20 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.array(kept, dtype=np.int64)
 
 
+def dealt(blocks: DataFrame, size: int) -> DataFrame:
+    """(dim, group, moves, tile, ...): every group of ``size`` tiles, and beside it each tile that meets some of it.
+
+    A tile is there once as a member of its own group and once for each group that holds tiles from
+    itself to ``last``, as one that moves past the members. So it is copied by the number of groups,
+    not of tiles.
+    """
+    own = F.floor(F.col("tile") / size).cast("int")
+    members = blocks.select("dim", own.alias("group"), F.lit(False).alias("moves"), "tile", "last", "ids", "copies", "flat")
+    met = F.explode(F.sequence(own, F.floor(F.col("last") / size).cast("int")))
+    moving = blocks.select("dim", met.alias("group"), F.lit(True).alias("moves"), "tile", "last", "ids", "copies", "flat")
+    return members.unionByName(moving)
+
+
 def _reach(threshold: float) -> float:
     """How far apart unit vectors of at least this cosine can be in any coordinate."""
     return float(np.sqrt(max(0.0, 2 - 2 * threshold))) + 1e-6
@@ -116,7 +134,7 @@ def first_coordinate(turns: dict[int, np.ndarray]) -> Column:
     for dim, turn in sorted(turns.items()):
         own = dot(F.array(*[F.lit(float(x)) for x in turn[:, 0]])) / F.sqrt(dot(vector))
         place = F.when(F.size(vector) == dim, own).otherwise(place)
-    return F.when(F.isnan(place), 0.0).otherwise(place)
+    return F.nanvl(place, F.lit(0.0))
 
 
 def strip_of(place: Column, turns: dict[int, np.ndarray], sampled: list[np.ndarray], strips: int) -> Column:
@@ -146,8 +164,8 @@ def near_vectors(
     that has another id. Other columns are ignored.
 
     Equal vectors are one node with a weight, so copies are never paired. Different vectors lie in
-    tiles ordered by the first principal coordinate; a join on tile numbers deals out all pairs of
-    tiles that are not too far apart in it. A pair of tiles sends one count per vector and a
+    tiles ordered by the first principal coordinate. A task holds a group of tiles, and all tiles that
+    are not too far from some of them in it move past the group. A pair of tiles sends one count per vector and a
     spanning forest of its links, at most two rows per vector, however dense the group. Rotation
     and borders are fitted on ``sample_rows`` vectors and change only the speed.
     """
@@ -178,7 +196,8 @@ def near_vectors(
         turns[dim] = rotation(own / np.linalg.norm(own, axis=1, keepdims=True))
 
     # Strips of the first principal coordinate; full ones are split into several tiles.
-    placed = nodes.withColumn("place", first_coordinate(turns)).withColumn(
+    # The coordinate leaves a generator, so that it isn't computed again for every border of a strip.
+    placed = nodes.withColumn("place", F.explode(F.array(first_coordinate(turns)))).withColumn(
         "strip", strip_of(F.col("place"), turns, sampled, min(tiles, STRIPS))
     )
     spans = sorted(
@@ -213,38 +232,47 @@ def near_vectors(
         ),
         "vector-tiles",
     )
-    left = blocks.select("dim", "last", *[F.col(x).alias(f"a_{x}") for x in ("tile", "ids", "copies", "flat")])
-    left = left.withColumn("b_tile", F.explode(F.sequence("a_tile", "last"))).drop("last")
-    right = blocks.select("dim", *[F.col(x).alias(f"b_{x}") for x in ("tile", "ids", "copies", "flat")])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Members of a group come first and are held; each tile that moves is compared with them."""
+        at, held = None, {}
         for batch in batches:
             for i in range(batch.num_rows):
                 get = lambda name: np.asarray(column(batch, name)[i].values)  # noqa: B023, E731
-                dim = column(batch, "dim")[i].as_py()
-                turn = turns.get(dim, np.eye(dim))
-                same = column(batch, "a_tile")[i].as_py() == column(batch, "b_tile")[i].as_py()
-                ids_a, ids_b = get("a_ids"), get("b_ids")
-                a = Tile(ids_a, matrix(get("a_flat"), dim), turn)
-                b = a if same else Tile(ids_b, matrix(get("b_flat"), dim), turn)
-                weight = dict(zip(ids_a.tolist(), get("a_copies").tolist(), strict=True))
-                weight |= dict(zip(ids_b.tolist(), get("b_copies").tolist(), strict=True))
-                r, k = tile_links(a, b, threshold, same)
-                if not len(r):
-                    continue
-                copies_a = np.array([weight[x] for x in a.ids.tolist()], dtype=np.int64)
-                copies_b = np.array([weight[x] for x in b.ids.tolist()], dtype=np.int64)
-                count_a = np.bincount(r, copies_b[k], minlength=len(a.ids)).astype(np.int64)
-                count_b = np.bincount(k, copies_a[r], minlength=len(b.ids)).astype(np.int64)
-                tree = forest(len(a.ids) + (0 if same else len(b.ids)), r, k + (0 if same else len(a.ids)))
-                node = np.concatenate([a.ids[count_a > 0], b.ids[count_b > 0], a.ids[r[tree]]])
-                links = np.concatenate([count_a[count_a > 0], count_b[count_b > 0], np.zeros(len(tree), np.int64)])
-                other = np.concatenate([np.full(len(links) - len(tree), -1), b.ids[k[tree]]])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x.astype(np.int64)) for x in (node, links, other)], names=["node", "links", "other"]
+                dim, group, moves, number, last = (
+                    column(batch, x)[i].as_py() for x in ("dim", "group", "moves", "tile", "last")
                 )
-
-    joined = left.join(right, ["dim", "b_tile"])
+                if (dim, group) != at:
+                    at, held = (dim, group), {}
+                if moves and number in held:
+                    a = held[number]
+                else:
+                    a = Tile(get("ids"), get("copies"), matrix(get("flat"), dim), turns.get(dim, np.eye(dim)))
+                if not moves:
+                    held[number] = a
+                    continue
+                for other_number, b in held.items():
+                    if not number <= other_number <= last:
+                        continue
+                    same = number == other_number
+                    r, k = tile_links(a, b, threshold, same)
+                    if not len(r):
+                        continue
+                    count_a = np.bincount(r, b.copies[k], minlength=len(a.ids)).astype(np.int64)
+                    count_b = np.bincount(k, a.copies[r], minlength=len(b.ids)).astype(np.int64)
+                    tree = forest(len(a.ids) + (0 if same else len(b.ids)), r, k + (0 if same else len(a.ids)))
+                    node = np.concatenate([a.ids[count_a > 0], b.ids[count_b > 0], a.ids[r[tree]]])
+                    links = np.concatenate([count_a[count_a > 0], count_b[count_b > 0], np.zeros(len(tree), np.int64)])
+                    other = np.concatenate([np.full(len(links) - len(tree), -1), b.ids[k[tree]]])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(x.astype(np.int64)) for x in (node, links, other)], names=["node", "links", "other"]
+                    )
+
+    widest = tile_rows * max(turns, default=1) * 8
+    size = max(1, min(-(-at // GROUPS), HELD_BYTES // widest))
+    # Groups are few and large: several partitions for each, so that two of them seldom share one.
+    joined = dealt(blocks, size).repartition(4 * max(1, -(-at // size)), "dim", "group")
+    joined = joined.sortWithinPartitions("dim", "group", "moves", "tile")
     found = staged(joined.mapInArrow(compare, "node bigint, links bigint, other bigint"), "vector-links")
     counts = found.where("links > 0").groupBy(F.col("node").alias("id")).agg(F.sum("links").alias("links"))
     roots = connected_components(found.where("other >= 0").select("node", "other"))

@@ -194,3 +194,26 @@ def test_top_k_needs_few_rounds(spark, monkeypatch):
         want += [(i, n, int(j), int(s[j])) for n, j in enumerate(order, 1)]
     assert got == sorted(want)
     assert len(states) == 2
+
+
+def test_tiles_are_copied_by_groups(spark, monkeypatch):
+    """Where all tiles meet, a tile is shuffled once a group, not once for every other tile."""
+    rows = []
+    deal = vector_dedup.dealt
+
+    def counted(blocks, size):
+        out = deal(blocks, size)
+        rows.append((blocks.count(), size, out.count()))
+        return out
+
+    monkeypatch.setattr(vector_dedup, "dealt", counted)
+    monkeypatch.setattr(vector_dedup, "GROUPS", 5)
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(400, 3))
+    vectors = [(i, v, 0) for i, v in enumerate(x.tolist())]
+    frame = spark.createDataFrame(vectors, VECTORS)
+    got = vector_dedup.near_vectors(frame, 0.2, tile_rows=10, sample_rows=100)
+    assert sorted((tuple(r) for r in got.collect()), key=str) == plain_near(vectors, 0.2)
+    (tiles, size, copies), = rows
+    assert tiles >= 40 and size >= 8
+    assert copies <= tiles * 7
