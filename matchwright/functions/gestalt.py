@@ -18,6 +18,8 @@ AT_ONCE = 1 << 15
 # Run lengths and places share 16 bits; and from this length of the right text on, difflib leaves
 # out frequent characters. Longer texts are given to difflib itself.
 PLAIN_LENGTH = 200
+# Bits of a number, one for each character of the shorter text; classes that characters fall in.
+SHORT, CLASSES = 64, 128
 
 
 def _characters(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -104,3 +106,41 @@ def ratios(left: list[str], right: list[str]) -> np.ndarray:
         matched, total = _matched([left[i] for i in part], [right[i] for i in part])
         out[part] = 2.0 * matched / total
     return out
+
+
+def _classes(texts: list[str]) -> np.ndarray:
+    """One row per text with the class of each character, filled up with a class of its own."""
+    codes, lengths = _characters(texts)
+    out = np.full((len(texts), max(1, int(lengths.max(initial=0)))), CLASSES, np.uint8)
+    at = np.arange(len(codes)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    out[np.repeat(np.arange(len(texts)), lengths), at] = codes % CLASSES
+    return out
+
+
+def subsequence_bounds(texts: list[str], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """No more characters of the texts numbered ``a`` and ``b`` can be matched.
+
+    Matched blocks are a common subsequence. The longest one of all pairs is found by bit vectors, one
+    step per character of the longer text (Hyyro 2004). Characters of one class count as equal, so it
+    may come out longer, never shorter; of pairs with longer texts the bound is the shorter length.
+    """
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    turned = lengths[a] < lengths[b]
+    a, b = np.where(turned, b, a), np.where(turned, a, b)
+    out = lengths[b]
+    fit = np.flatnonzero((lengths[b] <= SHORT) & (lengths[a] < PLAIN_LENGTH))
+    for start in range(0, len(fit), AT_ONCE):
+        part = fit[start : start + AT_ONCE]
+        (longer, own), (shorter, other) = (np.unique(x[part], return_inverse=True) for x in (a, b))
+        places = _classes([texts[i] for i in shorter])
+        masks = np.zeros((len(shorter), CLASSES + 1), np.uint64)
+        for i in range(places.shape[1]):
+            masks[np.arange(len(shorter)), places[:, i]] |= np.uint64(1 << i)
+        masks[:, CLASSES] = 0
+        flat, base = masks.ravel(), other * (CLASSES + 1)
+        left = np.full(len(part), ~np.uint64(0))
+        for chars in np.ascontiguousarray(_classes([texts[i] for i in longer]).T):
+            met = left & flat[base + chars[own]]
+            left = (left + met) | (left - met)
+        out[part] = np.bitwise_count(~left)
+    return out

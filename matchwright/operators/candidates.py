@@ -10,7 +10,7 @@ cut so that some piece is untouched at that ratio; where the floor can't be reac
 days, there is no such step. The two cases exclude each other and lose no pair at or above the floor.
 
 Events meet in tiles of bounded lists. A task scores a whole tile with arrays and lets go what is
-below the floor; asked for lists, it keeps only the best pairs of every event and says which events
+below the floor, most of it by bounds on the characters that can match; asked for lists, it keeps only the best pairs of every event and says which events
 had more. So a day with thousands of events never becomes rows for all of its pairs.
 """
 
@@ -164,6 +164,13 @@ def _upper(names: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return lengths, np.minimum(counts, 255).astype(np.uint8)
 
 
+def _byte_sums(rows: np.ndarray) -> np.ndarray:
+    """Sums of rows of BINS bytes: bytes in lanes of 16 bits, lanes added by one multiplication."""
+    words, low = rows.view(np.uint64), np.uint64(0x00FF00FF00FF00FF)
+    lanes = ((words & low) + (words >> np.uint64(8) & low)).sum(axis=1)
+    return (lanes * np.uint64(0x0001000100010001) >> np.uint64(48)).astype(np.int64)
+
+
 def _rank(group: np.ndarray, value: np.ndarray) -> np.ndarray:
     """Place of each element in its group by falling value, from 0."""
     order = np.lexsort((-value, group))
@@ -187,12 +194,16 @@ class _Tile:
 
     def __init__(self, left: _Events, right: _Events, li, ri, near, rule: Rule, names: list[str]) -> None:
         days = np.abs(left.days[li] - right.days[ri])
+        # Where near pairs are wanted, none is more than the reach apart; most of a tile may be.
+        within = np.flatnonzero(~near | (days <= rule.reach))
+        if len(within) < len(li):
+            li, ri, near, days = li[within], ri[within], near[within], days[within]
         date = np.nan_to_num(np.maximum(0.0, 1 - days / float(rule.max_days)))
         own = left.surfaces[li]
         surface = ((own >= 0) & (own == right.surfaces[ri])).astype(float)
         rest = DATE_WEIGHT * date + SURFACE_WEIGHT * surface
         need = (rule.floor - rest) / NAME_WEIGHT
-        kept = np.where(near, need < rule.indexed, (need >= rule.indexed) & (need <= 1 + _SLACK))
+        kept = np.where(near, need < rule.indexed, need >= rule.indexed) & (need <= 1 + _SLACK)
         self.left, self.right, self.rule, self.names = left, right, rule, names
         self.li, self.ri, self.date, self.surface = li[kept], ri[kept], date[kept], surface[kept]
         self.rest = rest[kept]
@@ -213,14 +224,23 @@ class _Tile:
         """No score can be higher: names match at most in the characters they share."""
         out = np.full(len(self.li), -np.inf)
         for at, x, y in self.variants(np.arange(len(self.li))):
-            shared = np.minimum(counts[x], counts[y]).sum(axis=1, dtype=np.int64)
+            shared = _byte_sums(np.minimum(counts[x], counts[y]))
             # Counts end at 255: beyond, only the lengths bound.
-            total = lengths[x] + lengths[y]
-            shared = np.where(np.maximum(lengths[x], lengths[y]) < 255, shared, np.minimum(lengths[x], lengths[y]))
-            ratio = np.where(total == 0, 1.0, 2.0 * shared / np.maximum(1, total))
-            np.maximum.at(out, at, NAME_WEIGHT * ratio)
+            long, short = np.maximum(lengths[x], lengths[y]), np.minimum(lengths[x], lengths[y])
+            shared = np.where(long < 255, shared, short)
+            ratio = np.where(long == 0, 1.0, 2.0 * shared / np.maximum(1, long + short))
+            out[at] = np.maximum(out[at], NAME_WEIGHT * ratio)
         return out + self.rest
 
+    def closer(self, upper: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Lower bounds than ``upper``: what matches stands in the same order in both names."""
+        out = np.full(len(self.li), -np.inf)
+        for at, x, y in self.variants(np.arange(len(self.li))):
+            total = lengths[x] + lengths[y]
+            ratio = np.where(total == 0, 1.0, 2.0 * gestalt.subsequence_bounds(self.names, x, y) / np.maximum(1, total))
+            out[at] = np.maximum(out[at], NAME_WEIGHT * ratio)
+        return np.minimum(upper, out + self.rest)
+
     def scores(self, rows: np.ndarray) -> np.ndarray:
         """Exact scores; every two different names are compared once."""
         best = np.full(len(rows), -np.inf)
@@ -299,18 +319,24 @@ def _scored(tiles: DataFrame, block: list[str], rule: Rule, keep: int | None) ->
         names = list(codes)
         lengths, counts = _upper(names)
         sizes = left.sizes * right.sizes
-        tile = np.repeat(np.arange(len(sizes)), sizes)
-        within = np.arange(len(tile)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        li = (np.cumsum(left.sizes) - left.sizes)[tile] + within // np.maximum(1, right.sizes)[tile]
-        ri = (np.cumsum(right.sizes) - right.sizes)[tile] + within % np.maximum(1, right.sizes)[tile]
-        near = batch.column("near").to_numpy(zero_copy_only=False).astype(bool)[tile]
+        # For every event on the left, the tile it is in and how many events on the right it meets.
+        tile = np.repeat(np.arange(len(sizes)), left.sizes)
+        meets = right.sizes[tile]
+        li = np.repeat(np.arange(len(tile), dtype=np.int32), meets)
+        first = (np.cumsum(right.sizes) - right.sizes)[tile] - (np.cumsum(meets) - meets)
+        ri = (np.arange(len(li)) + np.repeat(first, meets)).astype(np.int32)
+        near = np.repeat(batch.column("near").to_numpy(zero_copy_only=False).astype(bool), sizes)
         pairs = _Tile(left, right, li, ri, near, rule, names)
         upper = pairs.bounds(lengths, counts)
         good = upper >= rule.floor - _SLACK
         pairs.cut(good)
-        rows, scores, more_left, more_right = pairs.best(upper[good], keep)
+        upper = pairs.closer(upper[good], lengths)
+        good = upper >= rule.floor - _SLACK
+        pairs.cut(good)
+        upper = upper[good]
+        rows, scores, more_left, more_right = pairs.best(upper, keep)
         li, ri = pairs.li[rows], pairs.ri[rows]
-        owner = pa.array(np.repeat(np.arange(len(sizes)), left.sizes)[li])
+        owner = pa.array(tile[li])
         columns = [batch.column(c).take(owner) for c in block]
         columns += [left.ids.take(pa.array(li)), right.ids.take(pa.array(ri)), pa.array(scores, pa.float64())]
         columns += [pa.array(more_left[li]), pa.array(more_right[ri])]
